@@ -5,6 +5,9 @@ text.  Each function turns them into a typed column that is NULL when the value
 those of a lax validating model, not those of a SQL cast: an integer field takes ``5``, ``5.0``, ``"5"``, ``" 5 "``,
 ``"1_000"`` and ``true`` but not ``5.5``; a string field takes only JSON strings; a timestamp takes ISO text or epoch numbers.
 Nothing here depends on the session time zone.
+
+The usual form of each type is tested first, inline; all other forms are evaluated inside a lambda (``_other_forms``), which
+keeps their code out of the compiled path of the usual one.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*(\.0+)?\s*$"
 FLOAT_TEXT = r"^\s*[+-]?(([0-9]+(_[0-9]+)*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
 DATE_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+PLAIN_TIME_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)?$"
 LOCAL_TIME_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?)?$"
 ZONED_TIME_TEXT = (
     r"^(?!0000)([0-9]{4}-[0-9]{2}-[0-9]{2}[Tt _][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,9})?)?)"
@@ -33,16 +37,24 @@ def _is_number(kind: Column) -> Column:
     return kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
 
 
+def _other_forms(kind: Column, text: Column, convert: Callable[[Column, Column], Column]) -> Column:
+    value = F.struct(kind.alias("kind"), text.alias("text"))
+    return F.get(F.transform(F.array(value), lambda v: convert(v["kind"], v["text"])), 0)
+
+
 def to_string(kind: Column, text: Column) -> Column:
     return F.when(kind == "STRING", text)
 
 
 def to_long(kind: Column, text: Column) -> Column:
+    return F.when(kind == "BIGINT", text.try_cast("bigint")).otherwise(_other_forms(kind, text, _long_of_other))
+
+
+def _long_of_other(kind: Column, text: Column) -> Column:
     digits = F.regexp_extract(F.translate(text, "_ \t\r\n\f", ""), r"^([+-]?[0-9]+)", 1)
     exact, approx = text.try_cast("decimal(38,18)"), text.try_cast("double")
     return (
-        F.when(kind == "BIGINT", text.try_cast("bigint"))
-        .when(kind == "STRING", F.when(text.rlike(INT_TEXT), digits.try_cast("bigint")))
+        F.when(kind == "STRING", F.when(text.rlike(INT_TEXT), digits.try_cast("bigint")))
         .when(kind == "BOOLEAN", (text == "true").cast("bigint"))
         .when(kind.startswith("DECIMAL"), F.when(exact == F.floor(exact), exact.try_cast("bigint")))
         .when(kind == "DOUBLE", F.when(approx == F.rint(approx), approx.try_cast("bigint")))
@@ -50,10 +62,13 @@ def to_long(kind: Column, text: Column) -> Column:
 
 
 def to_double(kind: Column, text: Column) -> Column:
-    return (
-        F.when(_is_number(kind), text.try_cast("double"))
-        .when(kind == "STRING", F.when(text.rlike(FLOAT_TEXT), F.translate(F.trim(text), "_", "").try_cast("double")))
-        .when(kind == "BOOLEAN", (text == "true").cast("double"))
+    return F.when(_is_number(kind), text.try_cast("double")).otherwise(_other_forms(kind, text, _double_of_other))
+
+
+def _double_of_other(kind: Column, text: Column) -> Column:
+    plain = F.translate(F.trim(text), "_", "")
+    return F.when(kind == "STRING", F.when(text.rlike(FLOAT_TEXT), plain.try_cast("double"))).when(
+        kind == "BOOLEAN", (text == "true").cast("double")
     )
 
 
@@ -87,6 +102,11 @@ def _epoch_time(text: Column) -> Column:
 
 def to_timestamp(kind: Column, text: Column) -> Column:
     """UTC time of ISO text (with or without offset) or of an epoch number."""
+    plain = (kind == "STRING") & text.rlike(PLAIN_TIME_TEXT)
+    return F.when(plain, text.try_cast("timestamp_ntz")).otherwise(_other_forms(kind, text, _time_of_other))
+
+
+def _time_of_other(kind: Column, text: Column) -> Column:
     zoned = _local_time(F.regexp_extract(text, ZONED_TIME_TEXT, 1)) - _offset(text)
     return (
         F.when((kind == "STRING") & text.rlike(LOCAL_TIME_TEXT), _local_time(text))
@@ -97,11 +117,14 @@ def to_timestamp(kind: Column, text: Column) -> Column:
 
 def to_date(kind: Column, text: Column) -> Column:
     """A date, or a moment at exactly midnight (by its own clock when it carries an offset)."""
+    plain = (kind == "STRING") & text.rlike(DATE_TEXT)
+    return F.when(plain, text.try_cast("date")).otherwise(_other_forms(kind, text, _date_of_other))
+
+
+def _date_of_other(kind: Column, text: Column) -> Column:
     own_clock = F.when(text.rlike(ZONED_TIME_TEXT), F.regexp_extract(text, ZONED_TIME_TEXT, 1)).otherwise(text)
-    moment = to_timestamp(kind, own_clock)
-    return F.when((kind == "STRING") & text.rlike(DATE_TEXT), text.try_cast("date")).otherwise(
-        F.when(moment == F.date_trunc("day", moment), moment.cast("date"))
-    )
+    moment = _time_of_other(kind, own_clock)
+    return F.when(moment == F.date_trunc("day", moment), moment.cast("date"))
 
 
 BY_KIND: dict[str, Callable[[Column, Column], Column]] = {

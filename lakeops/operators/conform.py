@@ -1,12 +1,14 @@
 """Decode JSON event bodies against a feed contract and split valid from invalid rows.
 
-Each body is parsed once, straight into the contract's fields (``from_json`` skips all other fields), and each field is coerced
-once.  ``explode(array(x))`` keeps it that way: a filter on the result would otherwise be pushed below the projection and
-repeat the parse in every predicate.
+Each body is parsed once, straight into the contract's fields (``from_json`` skips all other fields).  ``explode(array(x))``
+keeps it that way: a filter on the result would otherwise be pushed below the projection and repeat the parse in every
+predicate.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,24 +42,27 @@ def decode(bodies: DataFrame, feed: Feed, body: str = "body", keep: tuple[str, .
         ],
     )
     read = objects.select(*keep, "body", _once(values).alias("value"))
-    record = F.struct(
-        F.col("value.is_object"),
+    typed = read.select(
+        *keep,
+        "body",
+        F.coalesce("value.is_object", F.lit(False)).alias("is_object"),
         *[coerce.BY_KIND[c.kind](F.col(f"value.{c.name}.kind"), F.col(f"value.{c.name}.text")).alias(c.name) for c in feed.columns],
     )
-    typed = read.select(*keep, "body", _once(record).alias("record"))
-    bad = F.concat_ws(",", *[F.when(F.col(f"record.{c.name}").isNull(), F.lit(c.source)) for c in feed.columns])
-    reason = F.when(~F.coalesce("record.is_object", F.lit(False)), F.lit("not a JSON object")).when(
+    bad = F.concat_ws(",", *[F.when(F.col(c.name).isNull(), F.lit(c.source)) for c in feed.columns])
+    reason = F.when(~F.col("is_object"), F.lit("not a JSON object")).when(
         bad != "", F.concat(F.lit("missing or invalid: "), bad)
     )
-    day = F.col(f"record.{feed.date_field}").cast("date")
-    return typed.select(
-        *keep, "body", reason.alias("reason"), *[F.col(f"record.{c.name}") for c in feed.columns], day.alias("event_date")
-    )
+    day = F.col(feed.date_field).cast("date")
+    return typed.select(*typed.columns, day.alias("event_date"), reason.alias("reason"))
+
+
+def _is_valid(feed: Feed) -> Column:
+    return reduce(Column.__and__, [F.col(c.name).isNotNull() for c in feed.columns], F.col("is_object"))
 
 
 def valid_events(decoded: DataFrame, feed: Feed, keep: tuple[str, ...] = ()) -> DataFrame:
-    return decoded.where(F.col("reason").isNull()).select(*keep, *[c.name for c in feed.columns], "event_date")
+    return decoded.where(_is_valid(feed)).select(*keep, *[c.name for c in feed.columns], "event_date")
 
 
-def rejected_events(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return decoded.where(F.col("reason").isNotNull()).select(*keep, "body", "reason")
+def rejected_events(decoded: DataFrame, feed: Feed, keep: tuple[str, ...] = ()) -> DataFrame:
+    return decoded.where(~_is_valid(feed)).select(*keep, "body", "reason")

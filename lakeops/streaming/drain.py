@@ -36,7 +36,7 @@ def write_events(
         tables.append(valid, warehouse, feed.table, load_id)
         now = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else F.localtimestamp()
         (
-            conform.rejected_events(decoded)
+            conform.rejected_events(decoded, feed)
             .select("body", "reason", now.alias("ingest_ts"), F.lit(load_id).alias("load_id"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -94,7 +94,7 @@ def ingest_defects_valid(t: Tables) -> DataFrame:
     "ELSE 'missing or invalid: detected_ts' END AS reason FROM bodies WHERE id % 12 NOT IN (0, 6, 8, 9)",
 )
 def ingest_defects_quarantine(t: Tables) -> DataFrame:
-    return conform.rejected_events(conform.decode(_defect_bodies(t), FEEDS["errors"]))
+    return conform.rejected_events(conform.decode(_defect_bodies(t), FEEDS["errors"]), FEEDS["errors"])
 
 
 # Integer forms: each event's number as an integer, a float, texts, a boolean and two values that are no integers.
