@@ -47,6 +47,11 @@ def register_derived_view(spark: SparkSession, warehouse: str, name: str, query:
     spark.sql(f"CREATE OR REPLACE VIEW `{module}`.`{short}` AS {query}")
 
 
+def register_frame(df: DataFrame, name: str) -> None:
+    """Make a frame readable by name in this session's SQL, such as an aggregate that several queries share."""
+    df.createOrReplaceTempView(name)
+
+
 def view_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -101,8 +101,6 @@ def run(
     hours = incremental.lookback_from_env() if lookback_hours is None else lookback_hours
     mark = incremental.high_water_mark(spark, warehouse, job.target)
     sources = [tables.scan(spark, warehouse, s) for s in job.sources]
-    if mark is not None:  # a raw table's event_date is the date of the column the target's mark comes from: prune by it
-        sources = [s.where(F.col("event_date") >= mark.cut(hours).cast("date")) for s in sources]
     built = job.build(*sources)
     idempotent = mode == "idempotent" and TABLES[job.target].key is not None
     stored = None

@@ -1,7 +1,10 @@
 """Dimension tables.
 
 The ``dim_*`` functions give the reference shape: one row per source event (``dim_date``: one per date and source) with the
-descriptive attributes as typed NULLs.  The ``current_*`` functions give one row per key, which is what joins need.
+descriptive attributes as typed NULLs.  ``current`` gives one row per key, which is what joins need.
+
+A raw table's ``event_date`` is the date of its own business time (``order_ts``, ``return_ts``, ...), so dates are taken from
+it: the table is stored by that column, and neither the dates nor a date filter cost a read of the timestamps.
 """
 
 from __future__ import annotations
@@ -12,59 +15,45 @@ from pyspark.sql import functions as F
 from lakeops.functions.calendar import calendar_parts
 
 
-def _observed_keys(raw: DataFrame, key: str, seen_on, attributes: dict[str, str], source: str | None = None) -> DataFrame:
+def _observed_keys(raw: DataFrame, key: str, attributes: dict[str, str], source: str | None = None) -> DataFrame:
     column = F.col(source or key)
     return raw.where(column.isNotNull() & (column != "")).select(
-        column.alias(key),
-        *[F.lit(None).cast(kind).alias(name) for name, kind in attributes.items()],
-        seen_on.cast("date").alias("event_date"),
+        column.alias(key), *[F.lit(None).cast(kind).alias(name) for name, kind in attributes.items()], "event_date"
     )
 
 
 def dim_product(raw_orders: DataFrame) -> DataFrame:
-    return _observed_keys(
-        raw_orders, "product_id", F.col("order_ts"), {"name": "string", "category": "string", "unit_cost": "int"}
-    )
+    return _observed_keys(raw_orders, "product_id", {"name": "string", "category": "string", "unit_cost": "int"})
 
 
 def dim_warehouse(raw_orders: DataFrame) -> DataFrame:
-    return _observed_keys(
-        raw_orders, "warehouse_id", F.col("order_ts"), {"region": "string", "manager": "string", "capacity": "int"}
-    )
+    return _observed_keys(raw_orders, "warehouse_id", {"region": "string", "manager": "string", "capacity": "int"})
 
 
 def dim_vehicle(raw_dispatch_logs: DataFrame) -> DataFrame:
     return _observed_keys(
-        raw_dispatch_logs, "vehicle_id", F.col("event_ts"), {"type": "string", "capacity": "int", "current_location": "string"}
+        raw_dispatch_logs, "vehicle_id", {"type": "string", "capacity": "int", "current_location": "string"}
     )
 
 
 def dim_error_code(raw_returns: DataFrame) -> DataFrame:
     """Codes are the reason codes of returns."""
     return _observed_keys(
-        raw_returns,
-        "error_code",
-        F.col("return_ts"),
-        {"description": "string", "severity_level": "string"},
-        source="reason_code",
+        raw_returns, "error_code", {"description": "string", "severity_level": "string"}, source="reason_code"
     )
 
 
 def dim_route(raw_route_updates: DataFrame) -> DataFrame:
     """Distinct routes per day seen."""
-    return _observed_keys(
-        raw_route_updates, "route_id", F.col("updated_ts"), {"region_covered": "string", "avg_duration": "int"}
-    ).distinct()
+    return _observed_keys(raw_route_updates, "route_id", {"region_covered": "string", "avg_duration": "int"}).distinct()
 
 
 def dim_date(raw_orders: DataFrame, raw_returns: DataFrame, raw_dispatch_logs: DataFrame) -> DataFrame:
     """Dates seen in orders, returns and dispatch logs, distinct per source (a date may occur up to three times)."""
-    days = [
-        raw.select(F.col(ts).cast("date").alias("date_id")).distinct()
-        for raw, ts in ((raw_orders, "order_ts"), (raw_returns, "return_ts"), (raw_dispatch_logs, "event_ts"))
-    ]
-    union = days[0].unionAll(days[1]).unionAll(days[2]).where(F.col("date_id").isNotNull())
-    return union.select("date_id", *calendar_parts(F.col("date_id")), F.col("date_id").alias("event_date"))
+    seen = [raw.select("event_date").distinct() for raw in (raw_orders, raw_returns, raw_dispatch_logs)]
+    days = seen[0].unionAll(seen[1]).unionAll(seen[2]).where(F.col("event_date").isNotNull())
+    date_id = F.col("event_date")
+    return days.select(date_id.alias("date_id"), *calendar_parts(date_id), "event_date")
 
 
 def current(dim: DataFrame, key: str) -> DataFrame:

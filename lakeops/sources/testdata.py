@@ -222,3 +222,12 @@ def project(df: DataFrame, name: str) -> DataFrame:
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return project(source_table(spark, sf_dir, RAW[name].source), name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan's rows over at least one task per core, for heavy per-row work on a source of few row groups.
+
+    A source of many files has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,7 +2,7 @@
 
 import random
 from collections import Counter
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,8 +31,7 @@ def test_region_of(spark):
 
 
 def test_dimension_keeps_a_row_per_event_and_drops_empty_keys(spark):
-    ts = datetime(2024, 1, 1, 5)
-    raw = spark.createDataFrame([("p", ts), ("p", ts), ("", ts), (None, ts)], "product_id string, order_ts timestamp_ntz")
+    raw = spark.createDataFrame([("p", DAY), ("p", DAY), ("", DAY), (None, DAY)], "product_id string, event_date date")
     dim = dims.dim_product(raw)
     assert rows(dim) == [("p", None, None, None, DAY)] * 2
     assert rows(dims.current(dim, "product_id")) == [("p", None, None, None, DAY, DAY)]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lakeops.contracts import FEEDS, REGIONS, TABLES, Feed
+from functools import reduce
+
+from lakeops.contracts import FEEDS, REGIONS, Feed
 from lakeops.functions.ids import region_of
-from lakeops.operators import conform
+from lakeops.operators import checks, conform, dedupe, views
 from lakeops.plans import curate
 from lakeops.sources import feeds, replay, tables, testdata
 from lakeops.streaming import drain, windows
@@ -21,7 +23,8 @@ def _raw_name(feed: Feed) -> str:
 
 
 def _ingest(t: Tables, feed: Feed) -> DataFrame:
-    return conform.valid_events(conform.decode(feeds.to_bodies(t.raw(_raw_name(feed)), feed), feed), feed)
+    bodies = feeds.to_bodies(testdata.spread(t.raw(_raw_name(feed))), feed)
+    return conform.valid_events(conform.decode(bodies, feed), feed)
 
 
 def _replay(t: Tables, feed: Feed) -> DataFrame:
@@ -29,7 +32,7 @@ def _replay(t: Tables, feed: Feed) -> DataFrame:
     payload = [c for c in feed.columns if c.name not in ("event_id", "event_ts", "event_type")]
     text = [F.col(c.name).cast("string").alias(c.source) for c in payload]
     path = f"{t.scratch}/csv"
-    t.raw(_raw_name(feed)).select(*text).write.option("header", True).csv(path)
+    testdata.spread(t.raw(_raw_name(feed))).select(*text).write.option("header", True).csv(path)
     bodies = replay.replay_csv(t.spark, path, feed, RUN_TS)
     valid = conform.valid_events(conform.decode(bodies, feed), feed)
     return valid.select("event_ts", "event_type", *[c.name for c in payload], "event_date")
@@ -48,39 +51,65 @@ for _feed in FEEDS.values():
     )
 
 
-# Defects: every event becomes an order-error body in one of twelve good or bad forms.
+# Regional queues: each region's orders are a feed of their own and land in one raw table.
+@query(
+    "ingest_orders_of_all_regions",
+    "SELECT event_id, event_ts, event_type, order_id, product_id, warehouse_id, order_ts, qty, event_date FROM raw_orders",
+)
+def ingest_orders_of_all_regions(t: Tables) -> DataFrame:
+    feed, orders = FEEDS["orders"], t.raw("raw_orders")
+    region = region_of(F.col("warehouse_id"))
+    queues = [feeds.to_bodies(orders.where(region == name), feed) for name in REGIONS]
+    return reduce(DataFrame.unionByName, [conform.valid_events(conform.decode(q, feed), feed) for q in queues])
+
+
+# Defects: every event becomes an order-error body in one of fifteen good or bad forms, by its type and value.
+_FORM = (
+    "(CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 3 WHEN 'signup' THEN 6 WHEN 'purchase' THEN 9 ELSE 12 END "
+    "+ CASE WHEN value < 15 THEN 0 WHEN value < 40 THEN 1 ELSE 2 END)"
+)
 _HEAD = "'{\"event_id\":\"', event_id, '\",\"event_type\":\"order_error\",\"error_id\":\"x\",\"event_ts\":\"2024-02-03T04:05:06\"'"
 _FORMS = (
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"detected_ts\":\"2024-02-03T04:05:06.5\"}')",  # valid
-    "concat('not json ', event_id)",
-    "concat('[', {h}, '}]')",  # an array
-    "concat({h}, ',\"error_code\":\"U\",\"detected_ts\":\"2024-02-03T04:05:06\"}')",  # no order_id
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":null,\"detected_ts\":\"2024-02-03T04:05:06\"}')",  # null
-    "concat({h}, ',\"order_id\":7,\"error_code\":\"U\",\"detected_ts\":\"2024-02-03T04:05:06\"}')",  # number for text
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"detected_ts\":\"2024-02-03T04:05:06+05:30\"}')",  # valid, zoned
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"detected_ts\":\"yesterday\"}')",
-    "concat({h}, ',\"order_id\":\"\",\"error_code\":\"U\",\"detected_ts\":\"2024-02-03\",\"more\":{\"x\":[1]}}')",  # valid
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"detected_ts\":1706933106}')",  # valid, epoch seconds
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"error_ts\":\"2024-02-03T04:05:06\"}')",  # column name, not JSON name
-    "concat({h}, ',\"order_id\":\"a\",\"error_code\":\"U\",\"detected_ts\":\"2024-02-03T04:05:06\"} tail')",
+    ',"order_id":"a","error_code":"U","detected_ts":"2024-02-03T04:05:06.5"}',  # 0 valid
+    None,  # 1 not JSON
+    None,  # 2 an array
+    ',"error_code":"U","detected_ts":"2024-02-03T04:05:06"}',  # 3 no order_id
+    ',"order_id":"a","error_code":null,"detected_ts":"2024-02-03T04:05:06"}',  # 4 null
+    ',"order_id":7,"error_code":"U","detected_ts":"2024-02-03T04:05:06"}',  # 5 number for text
+    ',"order_id":"a","error_code":"U","detected_ts":"2024-02-03T04:05:06+05:30"}',  # 6 valid, with an offset
+    ',"order_id":"a","error_code":"U","detected_ts":"yesterday"}',  # 7 no time
+    ',"order_id":"","error_code":"U","detected_ts":"2024-02-03","more":{"x":[1]}}',  # 8 valid, empty text, date, extra field
+    ',"order_id":"a","error_code":"U","detected_ts":1706933106}',  # 9 valid, epoch seconds
+    ',"order_id":"a","error_code":"U","error_ts":"2024-02-03T04:05:06"}',  # 10 column name for JSON name
+    ',"order_id":"a","error_code":"U","detected_ts":"2024-02-03T04:05:06"} tail',  # 11 text after the object
+    ',"order_id":"a","error_code":"U","detected_ts":"2024-02-30T00:00:00"}',  # 12 no such day
+    ',"order_id":"a","error_code":"U","detected_ts":"2024-02-03T04:05:06Z"}',  # 13 valid, UTC
+    ',"order_id":true,"error_code":5,"detected_ts":null}',  # 14 all wrong
+)
+_OTHER_BODIES = {1: "concat('not json ', event_id)", 2: f"concat('[', {_HEAD}, '}}]')"}
+_BODY = (
+    "CASE form "
+    + " ".join(f"WHEN {i} THEN {_OTHER_BODIES.get(i) or f'concat({_HEAD}, {chr(39)}{form}{chr(39)})'}" for i, form in enumerate(_FORMS))
+    + " END"
+)
+_DEFECTS = (
+    f"SELECT event_id, form, {_BODY} AS body FROM (SELECT CAST(event_id AS STRING) AS event_id, {_FORM} AS form FROM events) e"
 )
-_BODY = "CASE CAST(id AS INT) % 12 " + " ".join(f"WHEN {i} THEN {f.replace('{h}', _HEAD)}" for i, f in enumerate(_FORMS)) + " END"
-_DEFECTS = f"SELECT id, {_BODY} AS body FROM (SELECT event_id AS id, CAST(event_id AS STRING) AS event_id FROM events) e"
 
 
 def _defect_bodies(t: Tables) -> DataFrame:
     events = testdata.source_table(t.spark, t.sf_dir, "events")
-    named = events.select(F.col("event_id").alias("id"), F.col("event_id").cast("string").alias("event_id"))
-    return named.select("id", F.expr(_BODY).alias("body"))
+    forms = events.select(F.col("event_id").cast("string").alias("event_id"), F.expr(_FORM).alias("form"))
+    return forms.select(F.expr(_BODY).alias("body"))
 
 
 @query(
     "ingest_defects_valid",
-    f"WITH bodies AS ({_DEFECTS}) SELECT CAST(id AS VARCHAR) AS event_id, TIMESTAMP '2024-02-03 04:05:06' AS event_ts, "
-    "'order_error' AS event_type, 'x' AS error_id, CASE WHEN id % 12 = 8 THEN '' ELSE 'a' END AS order_id, 'U' AS error_code, "
-    "CASE id % 12 WHEN 0 THEN TIMESTAMP '2024-02-03 04:05:06.5' WHEN 6 THEN TIMESTAMP '2024-02-02 22:35:06' "
+    f"WITH bodies AS ({_DEFECTS}) SELECT event_id, TIMESTAMP '2024-02-03 04:05:06' AS event_ts, "
+    "'order_error' AS event_type, 'x' AS error_id, CASE WHEN form = 8 THEN '' ELSE 'a' END AS order_id, 'U' AS error_code, "
+    "CASE form WHEN 0 THEN TIMESTAMP '2024-02-03 04:05:06.5' WHEN 6 THEN TIMESTAMP '2024-02-02 22:35:06' "
     "WHEN 8 THEN TIMESTAMP '2024-02-03 00:00:00' ELSE TIMESTAMP '2024-02-03 04:05:06' END AS error_ts, "
-    "CASE id % 12 WHEN 6 THEN DATE '2024-02-02' ELSE DATE '2024-02-03' END AS event_date FROM bodies WHERE id % 12 IN (0, 6, 8, 9)",
+    "CASE form WHEN 6 THEN DATE '2024-02-02' ELSE DATE '2024-02-03' END AS event_date FROM bodies WHERE form IN (0, 6, 8, 9, 13)",
 )
 def ingest_defects_valid(t: Tables) -> DataFrame:
     return conform.valid_events(conform.decode(_defect_bodies(t), FEEDS["errors"]), FEEDS["errors"])
@@ -88,43 +117,38 @@ def ingest_defects_valid(t: Tables) -> DataFrame:
 
 @query(
     "ingest_defects_quarantine",
-    f"WITH bodies AS ({_DEFECTS}) SELECT body, CASE id % 12 WHEN 1 THEN 'not a JSON object' WHEN 2 THEN 'not a JSON object' "
-    "WHEN 3 THEN 'missing or invalid: order_id' WHEN 4 THEN 'missing or invalid: error_code' "
-    "WHEN 5 THEN 'missing or invalid: order_id' WHEN 11 THEN 'not a JSON object' "
-    "ELSE 'missing or invalid: detected_ts' END AS reason FROM bodies WHERE id % 12 NOT IN (0, 6, 8, 9)",
+    f"WITH bodies AS ({_DEFECTS}) SELECT body, CASE WHEN form IN (1, 2, 11) THEN 'not a JSON object' "
+    "WHEN form IN (3, 5) THEN 'missing or invalid: order_id' WHEN form = 4 THEN 'missing or invalid: error_code' "
+    "WHEN form = 14 THEN 'missing or invalid: order_id,error_code,detected_ts' "
+    "ELSE 'missing or invalid: detected_ts' END AS reason FROM bodies WHERE form NOT IN (0, 6, 8, 9, 13)",
 )
 def ingest_defects_quarantine(t: Tables) -> DataFrame:
     return conform.rejected_events(conform.decode(_defect_bodies(t), FEEDS["errors"]), FEEDS["errors"])
 
 
-# Integer forms: each event's number as an integer, a float, texts, a boolean and two values that are no integers.
-_NUMBERS = (
-    "CAST(id AS STRING)",
-    "concat(CAST(id AS STRING), '.0')",
-    "concat('\"', CAST(id AS STRING), '\"')",
-    "concat('\" +', CAST(id AS STRING), '.00 \"')",
-    "'true'",
-    "concat(CAST(id AS STRING), '.5')",
-    "concat('\"', CAST(id AS STRING), 'e1\"')",
+# Integer forms: each event's number as an integer, a float, texts, a boolean and values that are no integers, by its type.
+_NUMBER = (
+    "CASE event_type WHEN 'view' THEN CASE WHEN value < 20 THEN id ELSE concat(id, '.0') END "
+    "WHEN 'click' THEN CASE WHEN value < 20 THEN concat('\"', id, '\"') ELSE concat('\" +', id, '.00 \"') END "
+    "WHEN 'signup' THEN 'true' WHEN 'purchase' THEN concat(id, '.5') ELSE concat('\"', id, 'e1\"') END"
 )
 _NUMBER_BODY = (
     "concat('{\"event_id\":\"i\",\"event_ts\":\"2024-01-02 03:04:05\",\"event_type\":\"inventory_movement\",\"movement_id\":\"', "
-    "CAST(id AS STRING), '\",\"product_id\":\"p\",\"source_type\":\"SALE\",\"delta_qty\":', CASE CAST(id AS INT) % 7 "
-    + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(_NUMBERS))
-    + " END, '}')"
+    f"id, '\",\"product_id\":\"p\",\"source_type\":\"SALE\",\"delta_qty\":', {_NUMBER}, '}}')"
 )
 
 
 @query(
     "ingest_number_forms",
-    "SELECT CAST(event_id AS VARCHAR) AS movement_id, CASE WHEN event_id % 7 = 4 THEN 1 ELSE event_id END AS delta_qty FROM events "
-    "WHERE event_id % 7 < 5",
+    "SELECT CAST(event_id AS VARCHAR) AS movement_id, CASE WHEN event_type = 'signup' THEN 1 ELSE event_id END AS delta_qty "
+    "FROM events WHERE event_type IN ('view', 'click', 'signup')",
 )
 def ingest_number_forms(t: Tables) -> DataFrame:
-    events = testdata.source_table(t.spark, t.sf_dir, "events").select(F.col("event_id").alias("id"))
-    bodies = events.select(F.expr(_NUMBER_BODY).alias("body"))
+    events = testdata.source_table(t.spark, t.sf_dir, "events")
+    named = events.select(F.col("event_id").cast("string").alias("id"), "event_type", "value")
     feed = FEEDS["inventory"]
-    return conform.valid_events(conform.decode(bodies, feed), feed).select("movement_id", "delta_qty")
+    decoded = conform.decode(named.select(F.expr(_NUMBER_BODY).alias("body")), feed)
+    return conform.valid_events(decoded, feed).select("movement_id", "delta_qty")
 
 
 # Incremental curation: the raw table arrives in two deliveries and the fact is curated after each.
@@ -197,15 +221,56 @@ def incremental_dimension(t: Tables) -> DataFrame:
     return _curate_twice(t, "strict", 0, "dim_route")
 
 
+# Stored tables behind views: dashboard SQL and checks by name.
+def _store_routes(t: Tables) -> str:
+    warehouse = f"{t.scratch}/warehouse"
+    tables.append(t.raw("raw_route_updates"), warehouse, _ROUTES)
+    for name in ("fact_vehicle_routes", "dim_route"):
+        curate.run(t.spark, warehouse, name, lookback_hours=0)
+    return warehouse
+
+
+@query("stored_route_updates", "SELECT * FROM raw_route_updates")
+def stored_route_updates(t: Tables) -> DataFrame:
+    tables.append(t.raw("raw_route_updates"), f"{t.scratch}/warehouse", _ROUTES)
+    return tables.scan(t.spark, f"{t.scratch}/warehouse", _ROUTES)
+
+
+@query(
+    "sql_on_views",
+    "SELECT f.status, COUNT(*) AS updates, COUNT(DISTINCT d.route_id) AS routes, MIN(f.event_date) AS first_day "
+    "FROM fact_vehicle_routes f JOIN dim_route d ON f.route_id = d.route_id AND f.event_date = d.event_date GROUP BY f.status",
+)
+def sql_on_views(t: Tables) -> DataFrame:
+    warehouse = _store_routes(t)
+    views.register_views(t.spark, warehouse, ("logistics_core.fact_vehicle_routes", "dimensions.dim_route"))
+    return t.spark.sql(
+        "SELECT f.status, COUNT(*) AS updates, COUNT(DISTINCT d.route_id) AS routes, MIN(f.event_date) AS first_day "
+        "FROM logistics_core.fact_vehicle_routes f JOIN dimensions.dim_route d "
+        "ON f.route_id = d.route_id AND f.event_date = d.event_date GROUP BY f.status"
+    )
+
+
+@query(
+    "stored_table_checks",
+    "SELECT 'logistics_core.fact_vehicle_routes' AS table_name, TRUE AS table_exists, COUNT(*) AS row_count, 'ok' AS status, "
+    "concat('count=', CAST(COUNT(*) AS VARCHAR)) AS message FROM fact_vehicle_routes UNION ALL "
+    "SELECT 'dimensions.dim_route', TRUE, COUNT(*), 'ok', concat('count=', CAST(COUNT(*) AS VARCHAR)) FROM dim_route UNION ALL "
+    "SELECT 'dimensions.dim_vehicle', FALSE, NULL, 'skipped', 'table not found'",
+)
+def stored_table_checks(t: Tables) -> DataFrame:
+    """Two stored tables and one that does not exist."""
+    names = ("logistics_core.fact_vehicle_routes", "dimensions.dim_route", "dimensions.dim_vehicle")
+    return checks.check_tables(t.spark, _store_routes(t), names)
+
+
 @query(
     "one_row_per_event",
     "SELECT * EXCLUDE (pick) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts, event_type, movement_id, "
     "product_id, delta_qty, source_type, event_date) AS pick FROM raw_inventory_movements) WHERE pick = 1",
 )
 def one_row_per_event(t: Tables) -> DataFrame:
-    from lakeops.operators.dedupe import one_row_per
-
-    return one_row_per(t.raw("raw_inventory_movements"), "event_id")
+    return dedupe.one_row_per(t.raw("raw_inventory_movements"), "event_id")
 
 
 @query(
@@ -214,11 +279,9 @@ def one_row_per_event(t: Tables) -> DataFrame:
     "(SELECT 1 FROM raw_inventory_movements s WHERE s.source_type = 'SALE' AND s.event_id = r.event_id)",
 )
 def not_yet_stored(t: Tables) -> DataFrame:
-    from lakeops.operators.dedupe import not_stored
-
     rows = t.raw("raw_inventory_movements")
     sale = F.col("source_type") == "SALE"
-    return not_stored(rows.where(~sale), rows.where(sale), "event_id")
+    return dedupe.not_stored(rows.where(~sale), rows.where(sale), "event_id")
 
 
 # Streams. Regional landing folders hold JSON lines; the region is the reporting user's.

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from lakeops.contracts import CHECKED_TABLES, FACTS, TABLES
-from lakeops.operators import checks, joins
+from lakeops.operators import checks, joins, views
 from lakeops.plans import charts, marts
 from lakeops.plans.curate import JOBS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from functools import reduce
 
 from verification.registry import Tables, query, register
 
@@ -203,6 +204,20 @@ def returns_per_order(t: Tables) -> DataFrame:
     return joins.returns_per_order(t.curated("fact_returns"), t.curated("fact_orders"))
 
 
+@query(
+    "sql_on_derived_view",
+    "SELECT MIN(event_date) AS first_return, CAST(SUM(total_returns) AS BIGINT) AS total_returns, COUNT(*) AS warehouses FROM "
+    "(SELECT o.warehouse_id, COUNT(*) AS total_returns, MIN(r.event_date) AS event_date FROM fact_returns r "
+    "JOIN fact_orders o ON r.order_id = o.order_id GROUP BY o.warehouse_id) m",
+)
+def sql_on_derived_view(t: Tables) -> DataFrame:
+    """The returns mart under a name, read back by SQL."""
+    views.register_frame(returns_by_warehouse_mart(t), "returns_by_warehouse")
+    return t.spark.sql(
+        "SELECT MIN(event_date) AS first_return, SUM(total_returns) AS total_returns, COUNT(*) AS warehouses FROM returns_by_warehouse"
+    )
+
+
 # Fact to dimension joins of the star schema.
 for _fact, _dim, _key in (
     ("fact_orders", "dim_product", "product_id"),
