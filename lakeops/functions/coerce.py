@@ -18,8 +18,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted text forms.
-INT_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*(\.0+)?\s*$"
-FLOAT_TEXT = r"^\s*[+-]?(([0-9]+(_[0-9]+)*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+INT_TEXT = r"^\s*[+-]?(0[0_]*(?=[0-9]))?[0-9]+(_[0-9]+)*(\.0+)?\s*$"
+FLOAT_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+SINGLE_UNDERSCORES = r"^(?!_)(?!.*__)(?!.*_$)\S+$"
 DATE_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 PLAIN_TIME_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?)?$"
 LOCAL_TIME_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt _][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,9})?)?)?$"
@@ -27,10 +28,10 @@ ZONED_TIME_TEXT = (
     r"^(?!0000)([0-9]{4}-[0-9]{2}-[0-9]{2}[Tt _][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]{1,9})?)?)"
     r"(?:[Zz]|([+-])([01][0-9]|2[0-3]):?([0-5][0-9]))$"
 )
-EPOCH_TEXT = r"^[+-]?[0-9]{1,18}(\.[0-9]+)?$"
+EPOCH_TEXT = r"^[+-]?([0-9]{1,18}\.?[0-9]*|\.[0-9]+)$"
 EPOCH_MILLIS_FROM = 20_000_000_000  # an epoch number beyond this is milliseconds, not seconds
-EPOCH_SECONDS_MIN = -62_135_596_800  # 0001-01-01
-EPOCH_SECONDS_MAX = 253_402_300_799  # 9999-12-31
+EPOCH_MILLIS_MIN = -62_135_596_800_000  # 0001-01-01
+EPOCH_MILLIS_MAX = 253_402_300_799_999  # 9999-12-31
 
 
 def _is_number(kind: Column) -> Column:
@@ -66,9 +67,11 @@ def to_double(kind: Column, text: Column) -> Column:
 
 
 def _double_of_other(kind: Column, text: Column) -> Column:
-    plain = F.translate(F.trim(text), "_", "")
-    return F.when(kind == "STRING", F.when(text.rlike(FLOAT_TEXT), plain.try_cast("double"))).when(
-        kind == "BOOLEAN", (text == "true").cast("double")
+    digits = F.translate(text, "_", "")
+    return (
+        F.when((kind == "STRING") & text.rlike(FLOAT_TEXT), text.try_cast("double"))
+        .when((kind == "STRING") & text.rlike(SINGLE_UNDERSCORES) & digits.rlike(FLOAT_TEXT), digits.try_cast("double"))
+        .when(kind == "BOOLEAN", (text == "true").cast("double"))
     )
 
 
@@ -95,9 +98,9 @@ def _epoch_time(text: Column) -> Column:
     def after_start(seconds):
         return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
-    return F.when(
-        F.abs(number) <= EPOCH_MILLIS_FROM, after_start(exact)
-    ).when(number.between(EPOCH_SECONDS_MIN * 1000, EPOCH_SECONDS_MAX * 1000), after_start(exact / 1000))
+    return F.when(F.abs(number) <= EPOCH_MILLIS_FROM, after_start(exact)).when(
+        number.between(EPOCH_MILLIS_MIN, EPOCH_MILLIS_MAX), after_start(exact / 1000)
+    )
 
 
 def to_timestamp(kind: Column, text: Column) -> Column:
