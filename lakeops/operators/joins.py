@@ -24,6 +24,7 @@ def with_dimension(
 ) -> DataFrame:
     """Left join of a fact to a one-row-per-key dimension; every fact row comes out once.
 
+    The dimension is read twice, to measure and to join: pass a stored table, or a derived one through ``computed_once``.
     A dimension measured to be small is broadcast and the fact is not shuffled.  A larger one is joined on (key, salt): each
     dimension row is repeated once per salt and the fact rows of a hot key spread over ``salts`` reducers.
     """

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.ids import derived_id, region_of
+from lakeops.sources import tables
 
 WINDOW_DAYS = 7
 HORIZON_DAYS = 30
@@ -83,3 +86,32 @@ def stockout_risk(
         (F.col("days").cast("double") / F.lit(float(window_days))).alias("confidence"),
         now.cast("date").alias("event_date"),
     )
+
+
+def _load_id(kind: str, run_ts: str) -> str:
+    """A load named after the run, so that repeating the run replaces its rows."""
+    return f"{kind}-{re.sub('[^0-9]', '', run_ts)}"
+
+
+def write_demand_forecast(
+    spark: SparkSession, warehouse: str, run_ts: str, window_days: int = WINDOW_DAYS, by_region: bool = False
+) -> None:
+    """Forecast from the stored orders and append to ``ml_insights.raw_demand_forecast``."""
+    orders = tables.scan(spark, warehouse, "orders.fact_orders")
+    rows = demand_forecast(orders, run_ts, window_days, by_region)
+    kind = "forecast_region" if by_region else "forecast"
+    tables.append(rows, warehouse, "ml_insights.raw_demand_forecast", _load_id(kind, run_ts))
+
+
+def write_stockout_risk(
+    spark: SparkSession,
+    warehouse: str,
+    run_ts: str,
+    window_days: int = WINDOW_DAYS,
+    horizon_days: int = HORIZON_DAYS,
+) -> None:
+    """Score the stored inventory and orders and append to ``ml_insights.raw_stockout_risk``."""
+    inventory = tables.scan(spark, warehouse, "inventory.fact_inventory_movements")
+    orders = tables.scan(spark, warehouse, "orders.fact_orders")
+    rows = stockout_risk(inventory, orders, run_ts, window_days, horizon_days)
+    tables.append(rows, warehouse, "ml_insights.raw_stockout_risk", _load_id("stockout", run_ts))

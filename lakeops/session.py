@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of shuffle input one reducer should get: small enough to sort in memory, large enough to keep task overhead low.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
@@ -37,8 +37,8 @@ def build_session(app: str = "lakeops", master: str | None = None, shuffle_bytes
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
     Only a local-mode session may fall back to a temporary folder: on a cluster it would not be visible to the executors.
     """
@@ -49,4 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lakeops-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/lakeops-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder under the checkpoint folder."""
+    return f"{_checkpoint_dir(spark)}/lakeops-{uuid.uuid4().hex}"
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, for a derived frame that is read more than once."""
+    _checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -2,7 +2,7 @@
 
 import random
 from collections import Counter
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +141,33 @@ def test_stockout_risk(spark):
     assert (got["none"].risk_score, got["none"].predicted_date, got["none"].confidence) == (1.0, date(2024, 2, 1), 1.0)
 
 
+def test_predictions_are_written_once_per_run(spark, warehouse):
+    """Orders and stock to prediction tables to their facts and the risk mart; a repeated run changes nothing."""
+    from lakeops.contracts import TABLES
+    from lakeops.plans import curate
+    from lakeops.sources import tables
+
+    noon = datetime(2024, 1, 5, 12)
+    orders = [(f"e{i}", noon, "order_created", f"o{i}", "p", "WH-N1", noon, 10, noon.date()) for i in range(3)]
+    moves = [("m", noon, "inventory_movement", "p", noon, 60, "RESTOCK", noon.date())]
+    for name, data in (("orders.fact_orders", orders), ("inventory.fact_inventory_movements", moves)):
+        tables.append(spark.createDataFrame(data, TABLES[name].schema), warehouse, name)
+    tables.bootstrap_ml_tables(spark, warehouse)
+    for _ in range(2):
+        forecast.write_demand_forecast(spark, warehouse, "2024-02-01 00:00:00")
+        forecast.write_demand_forecast(spark, warehouse, "2024-02-01 00:00:00", by_region=True)
+        forecast.write_stockout_risk(spark, warehouse, "2024-02-01 00:00:00")
+    demand = tables.scan(spark, warehouse, "ml_insights.raw_demand_forecast")
+    assert rows(demand, "product_id", "region", "forecast_qty") == [("p", "global", 30), ("p", "north", 30)]
+    risk = tables.scan(spark, warehouse, "ml_insights.raw_stockout_risk")
+    assert rows(marts.average_stockout_risk(risk)) == [("p", 1 - 2 / 30)]
+    for name in ("fact_forecast_demand", "fact_stockout_risks"):
+        curate.run(spark, warehouse, name, lookback_hours=0)
+    assert tables.scan(spark, warehouse, "ml_insights.fact_forecast_demand").count() == 2
+    stored = tables.scan(spark, warehouse, "ml_insights.fact_stockout_risks")
+    assert rows(stored, "product_id", "predicted_date") == [("p", date(2024, 2, 3))]
+
+
 def test_sla_violations(spark):
     sla = spark.createDataFrame(
         [("V-N1", 30, 45), ("V-N1", 30, 30), ("V-S1", 30, 20), ("X", 10, 11)],

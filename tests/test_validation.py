@@ -145,17 +145,26 @@ def test_alias_must_be_the_json_name(spark):
 def test_replay_fills_ids_and_times_and_keeps_bad_rows_apart(spark, tmp_path):
     path = tmp_path / "dispatch.csv"
     path.write_text(
-        "eta,vehicle_id,status,ignored\n2024-01-02T03:04:05,V-N1,ASSIGNED,x\n2024-01-02T03:04:05,,FAILED,x\nsoon,V-N2,FAILED,x\n"
+        "eta,vehicle_id,ignored,status\n"
+        "2024-01-02T03:04:05,V-N1,x,ASSIGNED\n"
+        '2024-01-02T03:04:05,,x,"so ""called"", FAILED"\n'  # empty text is a text
+        "2024-01-02T03:04:05,V-N2,x\n"  # a short row
+        "soon,V-N3,x,FAILED\n"
+        "2024-01-02T03:04:05,V-N4,x,FAILED,more\n"  # a long row
     )
     feed = FEEDS["dispatch_logs"]
     decoded = conform.decode(replay.replay_csv(spark, str(path), feed, "2025-01-01 00:00:00"), feed).cache()
     valid = conform.valid_events(decoded, feed).collect()
-    assert len(valid) == 1
-    assert (valid[0].vehicle_id, valid[0].event_type, valid[0].event_ts) == ("V-N1", "dispatch_log", datetime(2025, 1, 1))
-    assert valid[0].event_id and valid[0].dispatch_id and valid[0].order_id
+    assert sorted((r.vehicle_id, r.status) for r in valid) == [
+        ("", 'so "called", FAILED'),
+        ("V-N1", "ASSIGNED"),
+        ("V-N4", "FAILED"),
+    ]
+    assert {(r.event_type, r.event_ts) for r in valid} == {("dispatch_log", datetime(2025, 1, 1))}
+    assert len({i for r in valid for i in (r.event_id, r.dispatch_id, r.order_id)}) == 9
     assert rows(conform.rejected_events(decoded, feed), "reason") == [
         ("missing or invalid: eta",),
-        ("missing or invalid: vehicle_id",),
+        ("missing or invalid: status",),
     ]
 
 

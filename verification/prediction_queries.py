@@ -98,5 +98,7 @@ def order_anomalies(t: Tables) -> DataFrame:
 )
 def order_features(t: Tables) -> DataFrame:
     return analytics.order_features(
-        t.curated("fact_orders"), t.current("dim_product", "product_id"), t.current("dim_warehouse", "warehouse_id")
+        t.curated("fact_orders"),
+        t.stored_current("dim_product", "product_id"),
+        t.stored_current("dim_warehouse", "warehouse_id"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.plans import dims
 from lakeops.plans.curate import JOBS
-from lakeops.session import shared_dir
+from lakeops.session import computed_once, shared_dir
 from lakeops.sources import testdata
 
 # Raw tables and the CTEs below may be used in a query's SQL by name.
@@ -105,6 +105,11 @@ class Tables:
     def current(self, name: str, key: str) -> DataFrame:
         return dims.current(self.curated(name), key)
 
+    def stored_current(self, name: str, key: str, *columns: str) -> DataFrame:
+        """The one-row-per-key dimension, computed once: a join measures it before it reads it."""
+        current = self.current(name, key)
+        return computed_once(current.select(key, *columns) if columns else current)
+
     @cached_property
     def scratch(self) -> str:
         """A new folder of this run in the shared checkpoint folder."""

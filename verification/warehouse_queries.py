@@ -230,7 +230,7 @@ for _fact, _dim, _key in (
         f"SELECT f.*, d.first_seen, d.last_seen FROM {_fact} f LEFT JOIN (SELECT {_key} AS k, min(event_date) AS first_seen, "
         f"max(event_date) AS last_seen FROM {_dim} GROUP BY {_key}) d ON f.{_key} = d.k",
         lambda t, f=_fact, d=_dim, k=_key: joins.with_dimension(
-            t.curated(f), t.current(d, k).select(k, "first_seen", "last_seen"), k, spread_by="event_id"
+            t.curated(f), t.stored_current(d, k, "first_seen", "last_seen"), k, spread_by="event_id"
         ),
     )
 
