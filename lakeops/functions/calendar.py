@@ -1,4 +1,4 @@
-"""Calendar parts of a date, as plain column expressions."""
+"""Calendar parts and UTC times, as plain column expressions that do not depend on the session time zone."""
 
 from __future__ import annotations
 
@@ -19,3 +19,25 @@ def calendar_parts(day: Column) -> list[Column]:
         F.quarter(day).alias("quarter"),
         F.year(day).alias("year"),
     ]
+
+
+def utc_now() -> Column:
+    """The current UTC time, without zone."""
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+
+
+def iso_text(time: Column) -> Column:
+    """A zoneless time as ISO text."""
+    return F.replace(time.cast("string"), F.lit(" "), F.lit("T"))
+
+
+def utc_instant(time: Column) -> Column:
+    """The instant at which UTC clocks show a zoneless time (streams need an instant for their watermark)."""
+    since_epoch = time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(F.lit(0)) + since_epoch
+
+
+def utc_date(instant: Column) -> Column:
+    """The UTC date of an instant."""
+    days = F.floor(F.unix_seconds(instant) / 86400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.contracts import Feed
+from lakeops.functions.calendar import iso_text
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +32,6 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, max_offsets_per_
 
 def to_bodies(events: DataFrame, feed: Feed, keep: tuple[str, ...] = ()) -> DataFrame:
     """Events as JSON bodies in the feed's payload form (what a producer publishes)."""
-    form = {"TIMESTAMP": lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "DATE": lambda c: c.cast("string")}
+    form = {"TIMESTAMP": iso_text, "DATE": lambda c: c.cast("string")}
     values = [form.get(c.kind, lambda v: v)(F.col(c.name)).alias(c.source) for c in feed.columns]
     return events.select(*keep, F.to_json(F.struct(*values)).alias("body"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.contracts import Column as Field
 from lakeops.contracts import Feed
+from lakeops.functions.calendar import iso_text, utc_now
 
 
 def _number(text: Column, kind: str) -> Column:
@@ -17,7 +18,7 @@ def _number(text: Column, kind: str) -> Column:
 def _value(field: Field, present: set[str], feed: Feed, now: Column, short: Column) -> Column:
     if field.name == "event_type":
         return F.lit(feed.event_type)
-    fill = {"uuid": F.uuid(), "now": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), None: F.lit(None)}[field.default]
+    fill = {"uuid": F.uuid(), "now": iso_text(now), None: F.lit(None)}[field.default]
     if field.source not in present or field.name in ("event_id", "event_ts"):
         return fill
     text = F.col(f"`{field.source}`")
@@ -45,6 +46,6 @@ def replay_csv(spark: SparkSession, path: str, feed: Feed, run_ts: str | None =
         .csv(path)
     )
     short = F.col("_malformed").isNotNull() & F.col(f"`{names[-1]}`").isNull()
-    now = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.current_timestamp()
+    now = F.lit(run_ts).cast("timestamp_ntz") if run_ts else utc_now()
     values = [_value(c, set(names), feed, now, short).alias(c.source) for c in feed.columns]
     return rows.select(F.to_json(F.struct(*values)).alias("body"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.contracts import TABLES, Feed
+from lakeops.functions.calendar import utc_now
 from lakeops.operators import conform, dedupe
 from lakeops.sources import tables
 
@@ -34,7 +35,7 @@ def write_events(
         if unique:
             valid = _not_yet_loaded(dedupe.one_row_per(valid, "event_id"), feed, warehouse, load_id)
         tables.append(valid, warehouse, feed.table, load_id)
-        now = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else F.localtimestamp()
+        now = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else utc_now()
         (
             conform.rejected_events(decoded, feed)
             .select("body", "reason", now.alias("ingest_ts"), F.lit(load_id).alias("load_id"))

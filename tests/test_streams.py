@@ -2,7 +2,7 @@
 
 import json
 import os
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +60,16 @@ def test_a_repeated_batch_replaces_itself(spark, warehouse):
     assert drain.read_quarantine(spark, warehouse, FEED).count() == 1
 
 
+def test_quarantine_time_is_utc(spark, warehouse):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        drain.write_events(spark.createDataFrame([("bad",)], "body string"), FEED, warehouse, "one")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stored = drain.read_quarantine(spark, warehouse, FEED).first().ingest_ts
+    assert abs(datetime.now(timezone.utc).replace(tzinfo=None) - stored) < timedelta(minutes=5)
+
+
 def test_unique_skips_known_ids(spark, warehouse):
     first = spark.createDataFrame([(_body("a"),), (_body("a"),), (_body("b"),)], "body string")
     drain.write_events(first, FEED, warehouse, "one", unique=True)
@@ -105,12 +115,17 @@ def test_stream_duplicates(spark, tmp_path, salts):
     assert rows(got, "event_id") == [("x",), ("y",), ("z",)]
 
 
-def test_stream_daily_totals(spark, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stream_daily_totals(spark, tmp_path, zone):
     folder = str(tmp_path)
+    spark.conf.set("spark.sql.session.timeZone", zone)
     _batch(spark, folder, "a", [("a", 1, 5), ("b", 20, 7), ("c", 26, 1)])
     _batch(spark, folder, "b", [("d", 2, 4), ("e", 60, 1)])
-    got = _run(
-        spark, folder, lambda s: windows.daily_totals(s, "ts", "12 hours", {"events": F.count("*"), "total": F.sum("n")})
-    )
+    try:
+        got = _run(
+            spark, folder, lambda s: windows.daily_totals(s, "ts", "12 hours", {"events": F.count("*"), "total": F.sum("n")})
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     # the late "d" is within the 12 hours' grace of day one; day three is still open
     assert rows(got) == [(START.date(), 3, 16), ((START + timedelta(days=1)).date(), 1, 1)]
