@@ -29,7 +29,9 @@ def write_events(
     event share its date, so only the stored dates that the batch has are looked at; what the same ``load_id`` wrote does not
     count as held.
     """
-    decoded = conform.decode(bodies, feed).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = conform.decode(bodies, feed)
+    rejected_body = F.when(F.col("reason").isNotNull(), F.col("body"))  # the cache need not hold the text of valid events
+    decoded = decoded.withColumn("body", rejected_body).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid = conform.valid_events(decoded, feed)
         if unique:
