@@ -103,8 +103,11 @@ def ensure_table(spark: SparkSession, warehouse: str, table: str | Table) -> boo
 
 
 def ensure_namespace(spark: SparkSession, warehouse: str, module: str) -> None:
-    """The module as a database of the session catalog, at the module's folder."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{module}` LOCATION '{warehouse.rstrip('/')}/{module}'")
+    """The module as a database of the session catalog.
+
+    Its folder is not the one that holds the module's tables: dropping a database deletes its folder.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{module}` LOCATION '{warehouse.rstrip('/')}/_views/{module}'")
 
 
 def bootstrap_ml_tables(spark: SparkSession, warehouse: str) -> list[str]:

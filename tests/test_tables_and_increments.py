@@ -188,6 +188,9 @@ DASHBOARD = {
 
 
 def test_views_run_dashboard_sql(spark, warehouse):
+    for name in contracts.FACTS + contracts.DIMS:  # the catalog is shared with other tests
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP VIEW {name}")
     orders = [(f"e{i}", NOON, "order_created", f"o{i}", "P1", w, NOON, 1, NOON.date()) for i, w in enumerate(["WH-N1", "WH-N1", "WH-S1"])]
     returns = [(f"r{i}", NOON, "return_created", f"r{i}", o, NOON, "OTHER", NOON.date()) for i, o in enumerate(["o0", "o1", "o9"])]
     tables.append(spark.createDataFrame(orders, contracts.TABLES["orders.raw_orders"].schema), warehouse, "orders.raw_orders")
@@ -221,6 +224,10 @@ def test_views_run_dashboard_sql(spark, warehouse):
     assert by_view == {"orders.fact_orders": "ok", "dimensions.dim_route": "bad", "dimensions.dim_vehicle": "skipped"}
     assert checks.has_rows(spark.table("orders.fact_orders")) and not checks.has_rows(spark.table("dimensions.dim_route"))
 
+    # dropping the views and their database leaves the tables alone
+    spark.sql("DROP DATABASE returns CASCADE")
+    assert tables.scan(spark, warehouse, "returns.fact_returns").count() == 3
+
     # rows appended later show up in the registered view
     late = [("e9", NOON + HOUR, "order_created", "o9", "P1", "WH-W1", NOON + HOUR, 1, NOON.date())]
     tables.append(spark.createDataFrame(late, contracts.TABLES["orders.raw_orders"].schema), warehouse, "orders.raw_orders")
