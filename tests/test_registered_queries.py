@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from verification.compare import differences, duckdb_on
+from verification.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -14,10 +15,11 @@ def connection(sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_sql(spark, sf_dir, connection, name):
     got = entry.queries()[name](spark, sf_dir).toArrow()
     expected = connection.execute(entry.oracle_sql()[name]).to_arrow_table()
