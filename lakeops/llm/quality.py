@@ -33,7 +33,8 @@ ORDER = 5
 BITS = 12
 MODEL_BYTES = 128 << 20
 ENTRY_BYTES = 16
-LOWER, UPPER, SHORT, MIN_TEXTS = 10.0, 10.0, 400.0, 50
+LANGUAGES = 10_000  # a broadcast table of bands has at most so many rows
+LOWER, UPPER, SHORT, MIN_TEXTS = 16.0, 10.0, 400.0, 50
 START = 1  # class of the padding before a text
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -299,16 +300,20 @@ def score_by_join(texts: DataFrame, model: DataFrame, order: int = ORDER) -> Dat
 
 
 def bands(scored: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(lang, middle, spread) from the column ``x`` (log perplexity), by histograms of a thousandth."""
+    """(lang, middle, spread) of the column ``x`` (log perplexity): medians at a resolution of a thousandth.
+
+    Texts are counted into bins at once; all else works on the bins, whose number does not grow with the texts.
+    """
+    bins = stored(scored.groupBy("lang", F.round("x", 3).alias("bin")).agg(F.count("*").alias("n")))
 
     def median(rows: DataFrame, value: str, name: str) -> DataFrame:
-        bins = rows.groupBy("lang", F.round(value, 3).alias("bin")).agg(F.count("*").alias("n"))
-        ordered = Window.partitionBy("lang").orderBy("bin")
-        up = bins.withColumns({"up": F.sum("n").over(ordered), "all": F.sum("n").over(Window.partitionBy("lang"))})
-        return up.filter(2 * F.col("up") >= F.col("all")).groupBy("lang").agg(F.min("bin").alias(name), F.max("all").alias("texts"))
+        counted = rows.groupBy("lang", F.col(value).alias("v")).agg(F.sum("n").alias("n"))
+        up = F.sum("n").over(Window.partitionBy("lang").orderBy("v"))
+        ordered = counted.withColumns({"up": up, "all": F.sum("n").over(Window.partitionBy("lang"))})
+        return ordered.filter(2 * F.col("up") >= F.col("all")).groupBy("lang").agg(F.min("v").alias(name), F.max("all").alias("texts"))
 
-    middle = median(scored, "x", "middle")
-    far = scored.join(middle.drop("texts"), "lang").withColumn("far", F.abs(F.col("x") - F.col("middle")))
+    middle = median(bins, "bin", "middle")
+    far = bins.join(middle.drop("texts"), "lang").withColumn("far", F.round(F.abs(F.col("bin") - F.col("middle")), 3))
     spread = median(far, "far", "mad")
     out = middle.join(spread.drop("texts"), "lang").filter(F.col("texts") >= min_texts)
     return out.select("lang", "middle", F.greatest(F.lit(0.01), 1.4826 * F.col("mad")).alias("spread"))
@@ -343,7 +348,8 @@ def quality_rules(
     x = F.when(F.col("n_scored") > 0, F.round(-F.col("logp") / F.col("n_scored"), 9))
     out = stored(out.withColumn("log_perplexity", x).withColumn("base_failed", base_failed()))
     limits = bands(out.filter("NOT base_failed").select(F.col("__lang").alias("lang"), F.col("log_perplexity").alias("x")))
-    limits = limits.withColumnRenamed("lang", "__lang")
+    limits = stored(limits.withColumnRenamed("lang", "__lang"))
+    limits = F.broadcast(limits) if limits.count() <= LANGUAGES else limits
     wide = F.col("spread") * F.sqrt(1 + SHORT / F.greatest(F.lit(1), "n_scored"))
     low, high = F.col("middle") - lower * wide, F.col("middle") + upper * wide
     inside = F.col("middle").isNull() | F.col("log_perplexity").between(low, high)

@@ -1,7 +1,7 @@
 """Words, lines and their 64-bit hashes for a chunk of texts at once, with numpy over the UTF-8 bytes that Arrow hands over.
 
 A word is a run of bytes other than space and 0x09-0x0D (those bytes never occur inside a longer UTF-8 sequence).  A null text is
-an empty text.  Chunks hold about a megabyte of text, or one text if that is longer, so memory does not grow with the batch.
+an empty text.  Chunks hold about a quarter of a megabyte of text, or one text if that is longer, so memory does not grow with the batch.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
