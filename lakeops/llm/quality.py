@@ -165,19 +165,26 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return model.join(bows, ["lang", "length", "key"], "full")
 
 
-def _arrays(model: DataFrame, order: int) -> dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Per language and length: sorted keys, log probabilities, back-off weights.  Only for a model of checked size."""
+Level = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _arrays(model: DataFrame, order: int) -> dict[str, list[Level]]:
+    """Per language and length: sorted n-grams, their log probabilities, sorted contexts, their back-off weights.  Only for a model of checked size."""
     table = model.toArrow()
-    out: dict[str, list] = {}
+    out: dict[str, list[Level]] = {}
     names = table.column("lang").combine_chunks().dictionary_encode()
     code, length = names.indices.to_numpy(), table.column("length").to_numpy()
-    key, logp, logb = table.column("key").to_numpy(), *(table.column(c).fill_null(np.nan).to_numpy() for c in ("logp", "logb"))
+    key, *values = table.column("key").to_numpy(), *(table.column(c).cast("double").fill_null(np.nan).to_numpy() for c in ("logp", "logb"))
     for k, name in enumerate(names.dictionary.to_pylist()):
         out[name] = []
         for n in range(order + 1):
-            at = np.flatnonzero((code == k) & (length == n))
-            at = at[np.argsort(key[at])]
-            out[name].append((key[at].astype(np.uint64), logp[at], np.nan_to_num(logb[at], nan=0.0)))
+            here = np.flatnonzero((code == k) & (length == n))
+            here = here[np.argsort(key[here])]
+            level = []
+            for value in values:
+                at = here[~np.isnan(value[here])]
+                level += [key[at].astype(np.uint64), value[at]]
+            out[name].append(tuple(level))
     return out
 
 
@@ -188,7 +195,7 @@ def _look_up(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, table[at] == keys
 
 
-def log_probabilities(keys: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: int) -> np.ndarray:
+def log_probabilities(keys: np.ndarray, levels: list[Level], order: int) -> np.ndarray:
     """Per key the natural log of its last character's probability after the others; unseen n-grams back off to shorter ones."""
     out = np.zeros(len(keys))
     left = np.arange(len(keys))
@@ -199,8 +206,8 @@ def log_probabilities(keys: np.ndarray, levels: list[tuple[np.ndarray, np.ndarra
         left, short = left[~seen], short[~seen]
         if not len(left):
             return out
-        at, known = _look_up(levels[k - 1][0], short >> np.uint64(BITS))
-        out[left[known]] += levels[k - 1][2][at[known]]
+        at, known = _look_up(levels[k - 1][2], short >> np.uint64(BITS))
+        out[left[known]] += levels[k - 1][3][at[known]]
     out[left] += -np.log(len(levels[1][0]) + 1)
     return out
 
@@ -248,7 +255,7 @@ def _features(model, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             if model is not None:
                 total, chars = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
                 for name, rows in _by_language(batch, "__lang"):
-                    if not len(rows):
+                    if name not in model.value:  # all its texts are empty
                         continue
                     own = texts.take(pa.array(rows))
                     for a, b in row_ranges(own):

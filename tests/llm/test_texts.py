@@ -1,0 +1,206 @@
+"""Operators on one text or URL at a time, against plain regular expressions and small cases."""
+
+import base64
+import hashlib
+import html
+import json
+import re
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lakeops.llm import html_text, pii, quality, secrets, url_filter
+from lakeops.llm.words import Chunk
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+DOC = "doc_id long, text string, lang string, kept string, n_email long, spans string"
+ODD = [None, "", " \n\t", "a", "x" * 200_000, "word " * 30_000, "é ü ß 漢字 \U0001f600", "a\nb\na\n\n \nb", "\n"]
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen = {}
+    for k in range(len(words) - 4):
+        seen.setdefault(tuple(words[k : k + 5]), []).append(k)
+    covered = {i for at in seen.values() if len(at) > 1 for k in at for i in range(k, k + 5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab é漢#|\n\t\x0b", max_size=80)), max_size=6))
+def test_counts_of_any_texts(texts):
+    found = quality.text_counts(Chunk(pa.array(texts, pa.string())))
+    assert list(zip(*(found[c].tolist() for c in quality.COUNTS), strict=True)) == [counts(t) for t in texts]
+
+
+def test_counts_of_odd_texts():
+    found = quality.text_counts(Chunk(pa.array(ODD, pa.string())))
+    assert list(zip(*(found[c].tolist() for c in quality.COUNTS), strict=True)) == [counts(t) for t in ODD]
+
+
+# Secrets
+
+ASSIGN = r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def plain_secrets(text):
+    out = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in re.finditer(ASSIGN, text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(x for *_, x in sorted(out))
+
+
+SECRET_PARTS = ["token", "TOKEN", "Secret", "apiKey", "=", ":", " ", '"', "'", "abcd", "deadbeef" * 2, "AKIA", "AKIAABCDEFGH1234", "X9", "ſecret", "é", "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(SECRET_PARTS), max_size=14).map("".join))
+def test_base_secrets(text):
+    n_assign, n_access, n_hex, digest, spans = secrets.scanner()(text)
+    expected = plain_secrets(text)
+    assert digest == hashlib.sha256(expected.encode()).hexdigest()
+    assert set(filter(None, expected.split(","))) <= set(spans.split(","))
+    assert n_assign + n_access + n_hex == len(list(filter(None, expected.split(","))))
+
+
+def der(tag, body):
+    length = bytes([len(body)]) if len(body) < 128 else bytes([0x82]) + len(body).to_bytes(2, "big")
+    return bytes([tag]) + length + body
+
+
+RSA = der(0x30, der(2, b"\x00") + b"".join(der(2, bytes([7] * 20)) for _ in range(8)))
+PKCS8 = der(0x30, der(2, b"\x00") + der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(4, RSA))
+EC = der(0x30, der(2, b"\x01") + der(4, b"k" * 32))
+text_ = lambda b: len(b).to_bytes(4, "big") + b
+OPENSSH = b"openssh-key-v1\0" + text_(b"none") + text_(b"none") + text_(b"") + (1).to_bytes(4, "big") + text_(b"p" * 30) + text_(b"s" * 60)
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC, OPENSSH])
+def test_keys_are_confirmed_by_structure(key):
+    coded = base64.b64encode(key).decode()
+    assert ("key", 2, 2 + len(coded)) in secrets.confirmed_spans(f"a {coded} b")
+    assert ("key", 0, 2 * len(key)) in secrets.confirmed_spans(key.hex().upper())
+    block = f"-----BEGIN PRIVATE KEY-----\n{coded[:40]}\n{coded[40:]}\n-----END PRIVATE KEY-----"
+    assert ("pem", 1, 1 + len(block)) in secrets.confirmed_spans(f" {block} ")
+    broken = base64.b64encode(key[:-3]).decode()
+    assert not secrets.confirmed_spans(f"a {broken} b")
+
+
+def test_signed_tokens_need_json_parts():
+    part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    token = ".".join([part(json.dumps({"alg": "HS256"}).encode()), part(b'{"sub": 1}'), "s" * 43])
+    assert secrets.confirmed_spans(f"see {token}.") == [("jwt", 4, 4 + len(token))]
+    assert secrets.confirmed_spans(".".join([part(b'{"typ": 1}'), part(b"{}"), "s" * 43])) == []
+    assert secrets.confirmed_spans(".".join([part(b'{"alg": "x"}'), part(b"no json"), "s" * 43])) == []
+
+
+# Personal data
+
+
+def plain_personal(text):
+    digits = lambda x: re.sub(r"[^0-9]", "", x)
+    rules = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x: all(int(p) <= 255 for p in x.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda x: 16 <= len(digits(x)) <= 19 and pii.luhn(digits(x))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda x: 8 <= len(digits(x)) <= 15),
+    )
+    return ",".join(f"{kind}:{m.start()}:{m.end()}" for kind, pattern, holds in rules for m in re.finditer(pattern, text) if holds(m[0]))
+
+
+PII_PARTS = ["a", "B.c", "@", "x.org", ".", "12", "255", "256", "4111 1111 1111 1111", "4111-1111", "+1", " (555) ", "-", " ", "+", "://", "é", "٣"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PII_PARTS), max_size=16).map("".join))
+def test_base_personal_data(text):
+    *numbers, digest, spans = pii.scanner()(text)
+    expected = plain_personal(text)
+    assert digest == hashlib.sha256(expected.encode()).hexdigest()
+    assert set(filter(None, expected.split(","))) <= set(spans.split(","))
+    assert sum(numbers) == len(list(filter(None, expected.split(","))))
+
+
+def test_cued_personal_data():
+    spans = pii.scanner()("IBAN: DE89 3704 0044 0532 0130 00, SSN 123-45-6789, account no. 12345678 at https://ann:pw@x.org/a")[-1]
+    assert [s.split(":")[0] for s in spans.split(",")] == ["email", "userinfo", "iban", "ssn", "account"]
+    assert "iban" not in pii.scanner()("IBAN: DE89 3704 0044 0532 0130 01")[-1]
+
+
+# URLs
+
+
+def as_regex(glob):
+    return re.compile("".join({"runs": ".*", "run": "[^/]*", "any": "[^/]"}.get(t, re.escape(t)) for t in url_filter.tokens(glob)), re.S)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.text(alphabet="ab/.*?é", max_size=9), min_size=1, max_size=12),
+    st.lists(st.text(alphabet="ab/.é", max_size=12), max_size=8),
+)
+def test_automaton_matches_like_regular_expressions(globs, texts):
+    globs = [re.sub(r"\*{3,}", "**", g) for g in globs]
+    found = url_filter.Automaton(globs).match(texts)
+    assert found.tolist() == [[bool(as_regex(g).fullmatch(t)) for g in globs] for t in texts]
+
+
+def test_url_rules(spark):
+    urls = {
+        "http://A.EXAMPLE.net/en/x": ("allow", "example.net/en/"), "https://a.example.net/de/": ("block", "net/"), "http://net/": ("block", "net/"),
+        "http://net": ("allow", None), "http://x.org/fr/?q": ("allow", "org/fr/"), "http://example.com/de/#": ("block", "example.com/de/"),
+        "http://notexample.com/de/": ("allow", None), "no url": ("allow", None), None: ("allow", None), "": ("allow", None),
+        "http://x.example.org/a.net/en/": ("allow", None), "http://spam-farm.example.org/a": ("block", None), "http://x.org/" + "a" * 5000: ("allow", None),
+    }
+    df = spark.createDataFrame([(k, u, "own") for k, u in enumerate(urls)] * 2, "page_id long, url string, rule string")
+    found = {r["page_id"]: (r["verdict"], r["rule"]) for r in url_filter.judge_urls(df, "url", ["page_id"]).collect()}
+    assert found == dict(enumerate(urls.values()))
+    assert url_filter.judge_urls(df.limit(0), "url", ["page_id"]).count() == 0
+
+
+# Pages
+
+PAGE = """<!DOCTYPE html><html><head><title>T &lt; U</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies</div>
+<div class="ad">Buy</div><article><h1>Head</h1><p>One &amp; <b>two</b>x<br>three
+ four</p><aside>Side</aside><p>Ti.</p><form><input name=a>Go</form><div class="share">Share</div><ul><li>item</li></ul></article>
+<section id="comments"><article><p>Me too</p></article></section><footer>&copy; S</footer></body></html>"""
+
+
+def test_main_text_of_a_marked_page():
+    assert html_text.main_text(PAGE) == "Head One & twox three four Ti. item"
+
+
+def test_main_text_of_an_unmarked_page():
+    body = "A long paragraph of the story, with more than enough words to be text and not a label. " * 2
+    page = f"<html><body><div class='menu'><a href='a'>x</a></div><ul><li><a href='b'>Contact us</a></li></ul><div><p>{body}</p><p>Short.</p><p>{body}</p></div><footer>f</footer>"
+    assert html_text.main_text(page) == " ".join(f"{body} Short. {body}".split())
+
+
+@pytest.mark.parametrize("page", ["", "<", "<p", "<!--", "<script>x", "plain & text", '<a href="x', "</div></div>", "<article>", "<p>" * 20_000, "<nav>" + "<div>" * 3000])
+def test_broken_pages_do_not_fail(page):
+    assert isinstance(html_text.main_text(page), str)
+    assert html_text.main_text("plain &amp; text") == "plain & text"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab&<> \n\té;", min_size=1, max_size=30), min_size=1, max_size=6))
+def test_article_paragraphs_come_back(paragraphs):
+    page = "<nav>menu</nav><article>" + "".join(f"<p>{html.escape(p)}</p>" for p in paragraphs) + "</article><footer>end</footer>"
+    blocks = [re.sub("[\x20\x09-\x0d]+", " ", p).strip(" ") for p in paragraphs]
+    assert html_text.main_text(page) == " ".join(b for b in blocks if b)
+
+
+def test_row_operators_on_odd_rows(spark):
+    rows = [(None if k == 2 else k, t, None, "x", 1, "y") for k, t in enumerate(ODD)] * 2
+    df = spark.createDataFrame(rows, DOC)
+    for operator in (secrets.find_secrets, pii.find_personal_data):
+        out = operator(df, "text", ["doc_id"])
+        assert out.count() == len(rows)
+        assert operator(df.limit(0), "text", ["doc_id"]).count() == 0
+    texts = html_text.extract_text(df, "text", ["doc_id"]).collect()
+    assert len(texts) == len(rows) and all(len(r["text"]) == r["n_chars"] for r in texts)
