@@ -25,11 +25,14 @@ def decode(bodies: DataFrame, feed: Feed, body: str = "body", keep: tuple[str, .
 
     All fields are required and non-null, further JSON fields are ignored.  The body is parsed as the first of two array
     elements, so that anything but exactly one JSON object (text after the object, a second object, an array) fails instead
-    of being read in part.
+    of being read in part.  A body that closes the array itself would hide what follows it; between plain brackets it does not count
+    as one element.
     """
     shape = "array<struct<" + ", ".join(f"`{c.source}`: variant" for c in feed.columns) + ">>"
     parsed = F.from_json(F.concat(F.lit("["), F.col(body), F.lit(",{}]")), shape, {"allowSingleQuotes": "false"})
-    objects = bodies.select(*keep, F.col(body).alias("body"), _once(parsed).alias("objects"))
+    alone = F.json_array_length(F.concat(F.lit("["), F.col(body), F.lit("]"))) == 1
+    closes = F.col(body).contains("]")  # only such a body needs the second look
+    objects = bodies.select(*keep, F.col(body).alias("body"), _once(F.when(~closes | alone, parsed)).alias("objects"))
     first = F.get(F.col("objects"), 0)
     values = F.struct(
         ((F.size("objects") == 2) & first.isNotNull()).alias("is_object"),

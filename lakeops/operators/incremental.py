@@ -35,8 +35,8 @@ class Mark:
         return point - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)) if lookback_hours > 0 else point
 
 
-def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table) -> Mark | None:
-    """Largest mark of the stored table; None when the table is missing or empty.
+def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table, but_load: str | None = None) -> Mark | None:
+    """Largest mark of the stored table, without the rows of the load ``but_load``; None when there are no rows.
 
     ``event_date`` is the date of the mark column, so the largest mark lies in the newest partition: that partition is found
     from partition values alone and only its mark column is read.
@@ -44,15 +44,17 @@ def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table) ->
     contract = tables.contract_of(table)
     if not tables.table_exists(spark, warehouse, contract):
         return None
-    stored = tables.scan(spark, warehouse, contract)
+    stored = tables.scan(spark, warehouse, contract, keep_load_id=True)
+    if but_load is not None:
+        stored = stored.where(F.col("load_id") != but_load)
     newest = stored.select(F.max("event_date")).scalar()
     top = stored.where(F.col("event_date") == newest).select(F.max(contract.mark).cast("string")).first()[0]
     kind = contract.schema[contract.mark].dataType.simpleString()
     return None if top is None else Mark(top, kind)
 
 
-def newer_than(df: DataFrame, column: str, mark: Mark | None, lookback_hours: int = 0) -> DataFrame:
-    """Rows strictly newer than the mark minus the look-back; all rows when there is no mark.
+def newer_than(df: DataFrame, column: str, mark: Mark | None, lookback_hours: int = 0, ties: bool = False) -> DataFrame:
+    """Rows newer than the mark minus the look-back (with ``ties``, also as new); all rows when there is no mark.
 
     The date predicate follows from the other one and is there for partition pruning.
     """
@@ -60,6 +62,6 @@ def newer_than(df: DataFrame, column: str, mark: Mark | None, lookback_hours: in
         return df
     cut = mark.cut(lookback_hours)
     if dict(df.dtypes)[column] == "date":  # a date is its midnight: later than the cut means a later day
-        return df.where(F.col(column) > cut.cast("date"))
-    newer = df.where(F.col(column) > cut)
+        return df.where(F.col(column) >= cut.cast("date") if ties else F.col(column) > cut.cast("date"))
+    newer = df.where(F.col(column) >= cut if ties else F.col(column) > cut)
     return newer.where(F.col("event_date") >= cut.cast("date")) if "event_date" in df.columns else newer

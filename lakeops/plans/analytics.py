@@ -38,18 +38,22 @@ def order_anomalies(fact_orders: DataFrame, deviations: float = 3.0) -> DataFram
     """Days on which a product's ordered quantity is more than ``deviations`` sample standard deviations off its daily mean.
 
     Orders collapse to daily totals first, so the per-product window holds one row per day.  Mean and variance come from exact
-    integer sums, so the result does not depend on the order in which rows arrive.
+    decimal sums (``n * sum of squares - square of the sum``, no cancellation), so totals of billions keep all digits and the
+    result does not depend on the order in which rows arrive.
     """
     daily = fact_orders.groupBy("product_id", "event_date").agg(F.sum("qty").alias("qty"))
     product = Window.partitionBy("product_id")
+    exact = F.col("qty").cast("decimal(19,0)")
+    whole = lambda c: c.cast("decimal(38,0)")
     summed = daily.select(
         "*",
-        F.count("*").over(product).cast("double").alias("n"),
-        F.sum("qty").over(product).cast("double").alias("s"),
-        F.sum(F.col("qty") * F.col("qty")).over(product).cast("double").alias("ss"),
+        F.count("*").over(product).alias("n"),
+        whole(F.sum(exact).over(product)).alias("s"),
+        whole(F.sum(whole(exact * exact)).over(product)).alias("ss"),
     ).where(F.col("n") > 1)
-    mean = F.col("s") / F.col("n")
-    variance = (F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
+    mean = F.col("s").cast("double") / F.col("n").cast("double")
+    spread = whole(F.col("n").cast("decimal(19,0)") * F.col("ss")) - whole(F.col("s") * F.col("s"))
+    variance = spread.cast("double") / (F.col("n") * (F.col("n") - 1)).cast("double")
     measured = summed.select("product_id", "event_date", "qty", mean.alias("mean_qty"), F.sqrt(variance).alias("sd_qty"))
     off = F.col("qty").cast("double") - F.col("mean_qty")
     return measured.where((F.col("sd_qty") > 0) & (F.abs(off) > F.lit(float(deviations)) * F.col("sd_qty")))

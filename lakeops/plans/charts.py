@@ -1,4 +1,4 @@
-"""Chart queries: metrics x group columns, or metrics over time, with an order and a row limit."""
+"""Chart queries: metrics x group columns, or metrics over time, in order, whole unless the caller sets a limit."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROW_LIMIT = 1000  # fixed value: the row limit every dashboard chart carries
-
 
 @dataclass(frozen=True)
 class Chart:
@@ -20,13 +18,17 @@ class Chart:
     group_by: tuple[str, ...] = ()
     time_column: str | None = None
     descending: bool = True
-    row_limit: int = ROW_LIMIT
+    row_limit: int | None = None
+
+
+def _limited(df: DataFrame, row_limit: int | None) -> DataFrame:
+    return df if row_limit is None else df.limit(row_limit)
 
 
 def chart_query(df: DataFrame, chart: Chart) -> DataFrame:
     """Grouped charts show the groups with the largest (or smallest) first metric; time charts run along the time column.
 
-    Order and limit together become a top-k per task and a merge, not a global sort.
+    Without ``row_limit`` every group or day is shown.  With one, order and limit become a top-k per task and a merge, not a global sort.
     """
     keys = [*([chart.time_column] if chart.time_column else []), *chart.group_by]
     if not keys:
@@ -34,10 +36,10 @@ def chart_query(df: DataFrame, chart: Chart) -> DataFrame:
     metrics = [F.expr(sql).alias(name) for name, sql in chart.metrics]
     grouped = df.groupBy(*keys).agg(*metrics)
     if chart.time_column:
-        return grouped.orderBy(*keys).limit(chart.row_limit)
+        return _limited(grouped.orderBy(*keys), chart.row_limit)
     first_metric = chart.metrics[0][0]
     order = F.desc(first_metric) if chart.descending else F.asc(first_metric)
-    return grouped.orderBy(order, *keys).limit(chart.row_limit)
+    return _limited(grouped.orderBy(order, *keys), chart.row_limit)
 
 
 _COUNT = (("count", "COUNT(*)"),)

@@ -65,14 +65,18 @@ def newer_rows(
     """The rows of ``built`` to append to ``target``.
 
     Without ``stored``: every row strictly newer than the mark minus the look-back (a look-back re-reads rows, so it repeats
-    them).  With ``stored``: one row per key, and only keys not stored yet.  A re-read event has the date it was stored under,
+    them).  With ``stored``: rows as new as that too, one per key, and only keys not stored yet; of a table without a key, which
+    may hold equal rows, as many of each as are not stored yet on the dates read.  A re-read event has the date it was stored under,
     so ``stored_scope="window"`` looks only at the stored dates the look-back covers; ``"table"`` looks at all of them, which
     also catches another event that reuses an old id.
     """
     contract = TABLES[target]
-    rows = incremental.newer_than(built, contract.mark, mark, lookback_hours)
-    if stored is None or contract.key is None:
-        return rows
+    if stored is None:
+        return incremental.newer_than(built, contract.mark, mark, lookback_hours)
+    rows = incremental.newer_than(built, contract.mark, mark, lookback_hours, ties=True)
+    if contract.key is None:
+        rows = tables.conform_to(rows, contract)
+        return rows if mark is None else rows.exceptAll(incremental.newer_than(stored, contract.mark, mark, lookback_hours, ties=True))
     once = dedupe.one_row_per(rows, contract.key)
     if mark is None:
         return once
@@ -85,27 +89,31 @@ def run(
     spark: SparkSession,
     warehouse: str,
     name: str,
-    mode: str = "strict",
+    mode: str = "idempotent",
     lookback_hours: int | None = None,
     stored_scope: str = "window",
     load_id: str | None = None,
 ) -> str:
     """Bring one curated table up to date and return the ``load_id`` of the rows appended.
 
-    ``mode="strict"`` appends rows newer than the mark.  ``mode="idempotent"`` re-reads the look-back and appends only keys
-    that are not stored yet; use it to pick up late rows and to repair a load that was cut off.
+    ``mode="idempotent"`` re-reads the look-back and appends only what is not stored yet, so it picks up ties and late rows and
+    repairs a load that was cut off.  ``mode="strict"`` appends rows newer than the mark and repeats a look-back.
+
+    A ``load_id`` that was used before names the same load again, as a scheduler's retry does: its earlier rows do not count as
+    stored, neither for the mark, and are replaced by all that this run finds.
     """
     if mode not in ("strict", "idempotent"):
         raise ValueError(f"unknown mode {mode!r}")
     job = JOBS[name]
     hours = incremental.lookback_from_env() if lookback_hours is None else lookback_hours
-    mark = incremental.high_water_mark(spark, warehouse, job.target)
+    mark = incremental.high_water_mark(spark, warehouse, job.target, but_load=load_id)
     sources = [tables.scan(spark, warehouse, s) for s in job.sources]
     built = job.build(*sources)
-    idempotent = mode == "idempotent" and TABLES[job.target].key is not None
+    idempotent = mode == "idempotent"
     stored = None
     if idempotent and tables.table_exists(spark, warehouse, job.target):
-        stored = tables.scan(spark, warehouse, job.target)
+        stored = tables.scan(spark, warehouse, job.target, keep_load_id=True)
+        stored = (stored if load_id is None else stored.where(F.col("load_id") != load_id)).drop("load_id")
     elif idempotent:
         stored = spark.createDataFrame([], TABLES[job.target].schema)
     rows = newer_rows(built, job.target, mark, hours, stored, stored_scope)

@@ -57,7 +57,7 @@ def dim_date(raw_orders: DataFrame, raw_returns: DataFrame, raw_dispatch_logs: D
 
 
 def current(dim: DataFrame, key: str) -> DataFrame:
-    """One row per key: its attributes (the largest non-null value seen), first and last date seen.
+    """One row per key: each attribute's value of the last day that has one (the largest of that day), first and last date seen.
 
     Grouping by key and attributes first leaves only dates to aggregate over the events, which hashes; the string maxima, which
     Spark computes by sorting, then see one row per distinct attribute set.
@@ -65,7 +65,7 @@ def current(dim: DataFrame, key: str) -> DataFrame:
     attributes = [c for c in dim.columns if c not in (key, "event_date")]
     seen = dim.groupBy(key, *attributes).agg(F.min("event_date").alias("first_seen"), F.max("event_date").alias("last_seen"))
     return seen.groupBy(key).agg(
-        *[F.max(a).alias(a) for a in attributes],
+        *[F.max_by(a, F.when(F.col(a).isNotNull(), F.struct("last_seen", a))).alias(a) for a in attributes],
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
     )

@@ -67,7 +67,8 @@ def stockout_risk(
     """Rows for ``ml_insights.raw_stockout_risk``: how soon the net stock of a product runs out at its forecast demand.
 
     Days of cover are net stock (sum of movements, at least 0) over mean daily demand.  The risk falls from 1 at no cover to 0
-    at ``horizon_days``; the predicted date is the run date plus the whole days of cover, at most the horizon; the confidence
+    at ``horizon_days``; the predicted date is the run date plus the whole days of cover, however far off (NULL beyond the
+    year 9999); the confidence
     is the share of the averaging window that has data.  Both join sides hold one row per product.
     """
     now = _run_time(run_ts)
@@ -75,14 +76,16 @@ def stockout_risk(
     demand = moving_average(demand_history(fact_orders), window_days).where(F.col("mean_qty") > 0)
     joined = demand.join(stock, "product_id", "left")
     available = F.greatest(F.coalesce("net_qty", F.lit(0)), F.lit(0)).cast("double")
-    cover = F.least(available / F.col("mean_qty"), F.lit(float(horizon_days)))
+    cover = available / F.col("mean_qty")
+    bounded = F.least(F.col("cover"), F.lit(float(horizon_days)))
+    last_day = F.datediff(F.lit("9999-12-31").cast("date"), now.cast("date"))
     return joined.withColumn("cover", cover).select(
         derived_id(F.lit("stockout_risk"), F.lit(run_ts), F.col("product_id")).alias("event_id"),
         now.alias("event_ts"),
         F.lit("stockout_risk").alias("event_type"),
         "product_id",
-        (F.lit(1.0) - F.col("cover") / F.lit(float(horizon_days))).alias("risk_score"),
-        F.date_add(now.cast("date"), F.floor("cover").cast("int")).alias("predicted_date"),
+        (F.lit(1.0) - bounded / F.lit(float(horizon_days))).alias("risk_score"),
+        F.when(F.col("cover") <= last_day, F.date_add(now.cast("date"), F.floor(F.least("cover", last_day)).cast("int"))).alias("predicted_date"),
         (F.col("days").cast("double") / F.lit(float(window_days))).alias("confidence"),
         now.cast("date").alias("event_date"),
     )

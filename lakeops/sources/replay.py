@@ -11,8 +11,9 @@ from lakeops.functions.calendar import iso_text, utc_now
 
 
 def _number(text: Column, kind: str) -> Column:
-    """Integers and floats as JSON numbers; text that is neither stays text and is rejected by the ingest."""
-    return F.trim(text).try_cast("bigint" if kind in ("INT", "LONG") else "double")
+    """Integers and floats as JSON numbers; text that is neither stays as it is and is rejected by the ingest."""
+    number = F.trim(text).try_cast("bigint" if kind in ("INT", "LONG") else "double")
+    return F.when(number.isNotNull(), number.cast("variant")).otherwise(text.cast("variant"))
 
 
 def _value(field: Field, present: set[str], feed: Feed, now: Column, short: Column) -> Column:

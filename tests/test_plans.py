@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+import statistics
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -137,7 +138,7 @@ def test_stockout_risk(spark):
     got = {r.product_id: r for r in forecast.stockout_risk(stock, orders, "2024-02-01 00:00:00").collect()}
     assert set(got) == {"low", "high", "none"}
     assert got["low"].predicted_date == date(2024, 2, 6) and got["low"].risk_score == pytest.approx(1 - 5 / 30)
-    assert (got["high"].risk_score, got["high"].predicted_date) == (0.0, date(2024, 3, 2))
+    assert got["high"].risk_score == 0.0 and got["high"].predicted_date > date(2024, 3, 2)
     assert (got["none"].risk_score, got["none"].predicted_date, got["none"].confidence) == (1.0, date(2024, 2, 1), 1.0)
 
 
@@ -185,3 +186,18 @@ def test_order_anomalies(spark):
     items = [("p", 10 + i % 2, DAY + timedelta(days=i)) for i in range(30)] + [("p", 500, DAY + timedelta(days=40)), ("once", 9, DAY)]
     got = analytics.order_anomalies(_orders(spark, items)).collect()
     assert [(r.product_id, r.qty, r.event_date) for r in got] == [("p", 500, DAY + timedelta(days=40))]
+
+
+def test_anomalies_of_large_totals_keep_their_digits(spark):
+    """Totals of two billion a day neither overflow nor cancel."""
+    values = [2_000_000_000 + k % 3 for k in range(30)] + [2_000_000_100]
+    orders = _orders(spark, [("p", q, DAY + timedelta(days=i)) for i, q in enumerate(values)])
+    got = analytics.order_anomalies(orders).collect()
+    assert [r.qty for r in got] == [2_000_000_100]
+    assert got[0].sd_qty == pytest.approx(statistics.stdev(values), rel=1e-12)
+
+
+def test_current_takes_the_last_value_of_each_attribute(spark):
+    seen = [("p", "old", "a", 5, date(2020, 1, 1)), ("p", "new", None, 3, date(2024, 1, 1)), ("q", None, None, None, date(2024, 1, 1))]
+    dim = spark.createDataFrame(seen, "product_id string, name string, category string, unit_cost int, event_date date")
+    assert rows(dims.current(dim, "product_id"), "product_id", "name", "category", "unit_cost") == [("p", "new", "a", 3), ("q", None, None, None)]

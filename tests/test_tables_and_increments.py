@@ -98,11 +98,11 @@ def test_missing_optional_column_reads_as_null(spark, warehouse):
 
 def test_strict_mode_skips_ties_and_late_rows(spark, warehouse):
     tables.append(_routes(spark, ("a", NOON), ("b", NOON + HOUR)), warehouse, ROUTES)
-    curate.run(spark, warehouse, "fact_vehicle_routes", lookback_hours=0)
+    curate.run(spark, warehouse, "fact_vehicle_routes", mode="strict", lookback_hours=0)
     tables.append(_routes(spark, ("tie", NOON + HOUR), ("late", NOON), ("new", NOON + 2 * HOUR)), warehouse, ROUTES)
-    curate.run(spark, warehouse, "fact_vehicle_routes", lookback_hours=0)
+    curate.run(spark, warehouse, "fact_vehicle_routes", mode="strict", lookback_hours=0)
     assert _ids(tables.scan(spark, warehouse, FACT)) == ["a", "b", "new"]
-    curate.run(spark, warehouse, "fact_vehicle_routes", lookback_hours=0)
+    curate.run(spark, warehouse, "fact_vehicle_routes", mode="strict", lookback_hours=0)
     assert _ids(tables.scan(spark, warehouse, FACT)) == ["a", "b", "new"]
 
 
@@ -132,13 +132,26 @@ def test_idempotent_scope(spark, warehouse, tmp_path):
 def test_dimension_increment(spark, warehouse):
     """A second run works for every dimension; the mark is a date."""
     tables.append(_routes(spark, ("a", NOON)), warehouse, ROUTES)
-    curate.run(spark, warehouse, "dim_route", lookback_hours=0)
+    curate.run(spark, warehouse, "dim_route", mode="strict", lookback_hours=0)
     tables.append(_routes(spark, ("same day", NOON + HOUR), ("next day", NOON + 24 * HOUR)), warehouse, ROUTES)
-    curate.run(spark, warehouse, "dim_route", lookback_hours=0)
+    curate.run(spark, warehouse, "dim_route", mode="strict", lookback_hours=0)
     stored = tables.scan(spark, warehouse, "dimensions.dim_route")
     assert rows(stored, "route_id", "event_date") == [("R-a", date(2024, 3, 1)), ("R-next day", date(2024, 3, 2))]
 
 
+def test_dimension_without_key_is_idempotent(spark, warehouse):
+    """Equal rows stay as often as they occur, late ones of the mark's own day come in, unchanged input adds nothing."""
+    def orders(*items):
+        values = [(f"e{k}{p}", NOON, "t", f"o{k}", p, "w", NOON, 1, NOON.date()) for k, p in enumerate(items)]
+        return spark.createDataFrame(values, contracts.TABLES["orders.raw_orders"].schema)
+
+    for delivery in (orders("a", "a", "b"), orders("a", "c"), orders()):
+        tables.append(delivery, warehouse, "orders.raw_orders")
+        curate.run(spark, warehouse, "dim_product", lookback_hours=0)
+    stored = tables.scan(spark, warehouse, "dimensions.dim_product")
+    assert [r[0] for r in rows(stored, "product_id")] == ["a", "a", "a", "b", "c"]
+
+
 def test_unknown_mode(spark, warehouse):
     with pytest.raises(ValueError):
         curate.run(spark, warehouse, "fact_vehicle_routes", mode="other")

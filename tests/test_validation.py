@@ -185,3 +185,19 @@ def test_bodies_round_trip(spark):
     )
     valid = conform.valid_events(conform.decode(feeds.to_bodies(frame, feed), feed), feed)
     assert tuple(valid.first()) == row + (date(2024, 1, 1),)
+
+
+def test_a_body_cannot_close_the_array_around_it(spark):
+    """Text after the object is found even if it looks like the end of the wrapper; brackets inside an object are fine."""
+    feed = FEEDS["orders"]
+    good = {"event_id": "e", "event_ts": "2024-01-01T00:00:00", "event_type": "t", "order_id": "[o]", "product_id": "p]", "warehouse_id": "w", "order_ts": "2024-01-01T00:00:00", "qty": 1}
+    body = json.dumps(good)
+    bodies = spark.createDataFrame([(body,), (body + ",{}] garbage",), (body + "] x",), (f"[{body}]",)], "body string")
+    reasons = {r["body"]: r["reason"] for r in conform.decode(bodies, feed).select("body", "reason").collect()}
+    assert [reasons[b] is None for b in (body, body + ",{}] garbage", body + "] x", f"[{body}]")] == [True, False, False, False]
+
+
+def test_replay_keeps_what_it_cannot_read(spark, tmp_path):
+    (tmp_path / "o.csv").write_text("product_id,warehouse_id,order_ts,qty\nP,W,2024-01-01T00:00:00,abc\nP,W,2024-01-01T00:00:00, 7\n")
+    bodies = sorted((json.loads(r["body"])["qty"] for r in replay.replay_csv(spark, str(tmp_path), FEEDS["orders"]).collect()), key=str)
+    assert bodies == [7, "abc"]

@@ -221,6 +221,26 @@ def incremental_dimension(t: Tables) -> DataFrame:
     return _curate_twice(t, "strict", 0, "dim_route")
 
 
+@query("incremental_dimension_idempotent", "SELECT * FROM dim_route")
+def incremental_dimension_idempotent(t: Tables) -> DataFrame:
+    """A table without a key takes in late rows once, however often it runs."""
+    _curate_twice(t, "idempotent", 24 * 40, "dim_route")
+    curate.run(t.spark, f"{t.scratch}/warehouse", "dim_route", lookback_hours=24 * 40)
+    return tables.scan(t.spark, f"{t.scratch}/warehouse", "dimensions.dim_route")
+
+
+@query("curate_retry_same_load", "SELECT * FROM fact_vehicle_routes")
+def curate_retry_same_load(t: Tables) -> DataFrame:
+    """A retry under the same load id replaces the load and keeps its rows."""
+    warehouse = f"{t.scratch}/warehouse"
+    routes = t.raw("raw_route_updates")
+    second = F.xxhash64("event_id") % 2 == 0
+    for delivery in (routes.where(~second), routes.where(second)):
+        tables.append(delivery, warehouse, _ROUTES)
+        curate.run(t.spark, warehouse, "fact_vehicle_routes", load_id="nightly")
+    return tables.scan(t.spark, warehouse, "logistics_core.fact_vehicle_routes")
+
+
 # Stored tables behind views: dashboard SQL and checks by name.
 def _store_routes(t: Tables) -> str:
     warehouse = f"{t.scratch}/warehouse"

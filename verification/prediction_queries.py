@@ -47,10 +47,10 @@ def demand_forecast_by_region(t: Tables) -> DataFrame:
     f"WITH {_averages(chr(39) + 'global' + chr(39))}, "
     "stock AS (SELECT product_id, SUM(delta_qty) AS net_qty FROM fact_inventory_movements GROUP BY product_id), "
     "covered AS (SELECT a.product_id, a.days, "
-    "least(CAST(greatest(coalesce(s.net_qty, 0), 0) AS DOUBLE) / a.mean_qty, CAST(30 AS DOUBLE)) AS cover "
+    "CAST(greatest(coalesce(s.net_qty, 0), 0) AS DOUBLE) / a.mean_qty AS cover "
     "FROM averages a LEFT JOIN stock s ON a.product_id = s.product_id WHERE a.mean_qty > 0) "
     f"SELECT sha256(concat('stockout_risk|{RUN_TS}|', product_id)) AS event_id, TIMESTAMP '{RUN_TS}' AS event_ts, "
-    "'stockout_risk' AS event_type, product_id, CAST(1 AS DOUBLE) - cover / CAST(30 AS DOUBLE) AS risk_score, "
+    "'stockout_risk' AS event_type, product_id, CAST(1 AS DOUBLE) - least(cover, CAST(30 AS DOUBLE)) / CAST(30 AS DOUBLE) AS risk_score, "
     f"DATE '{RUN_TS[:10]}' + CAST(floor(cover) AS INTEGER) AS predicted_date, "
     f"CAST(days AS DOUBLE) / CAST(7 AS DOUBLE) AS confidence, DATE '{RUN_TS[:10]}' AS event_date FROM covered",
 )
@@ -74,9 +74,10 @@ def sla_violations(t: Tables) -> DataFrame:
 @query(
     "order_anomalies",
     "WITH daily AS (SELECT product_id, event_date, CAST(SUM(qty) AS BIGINT) AS qty FROM fact_orders GROUP BY product_id, event_date), "
-    "sums AS (SELECT product_id, CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(qty) AS DOUBLE) AS s, CAST(SUM(qty * qty) AS DOUBLE) AS ss "
+    "sums AS (SELECT product_id, COUNT(*) AS n, SUM(qty) AS s, SUM(CAST(qty AS HUGEINT) * qty) AS ss "
     "FROM daily GROUP BY product_id), "
-    "measured AS (SELECT d.product_id, d.event_date, d.qty, s / n AS mean_qty, sqrt((ss - s * s / n) / (n - 1)) AS sd_qty "
+    "measured AS (SELECT d.product_id, d.event_date, d.qty, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) AS mean_qty, "
+    "sqrt(CAST(n * ss - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) AS sd_qty "
     "FROM daily d JOIN sums USING (product_id) WHERE n > 1) "
     "SELECT * FROM measured WHERE sd_qty > 0 AND abs(CAST(qty AS DOUBLE) - mean_qty) > CAST(2 AS DOUBLE) * sd_qty",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from lakeops.contracts import CHECKED_TABLES, FACTS, TABLES
@@ -136,7 +137,7 @@ def average_stockout_risk(t: Tables) -> DataFrame:
     return marts.average_stockout_risk(t.raw("raw_stockout_risk"))
 
 
-# Charts: 1000 rows is the row limit every dashboard chart carries.
+# Charts show every group and day; one asks for its ten largest groups.
 _CHART_SQL = {
     "orders_by_warehouse": ("fact_orders", "warehouse_id", 'COUNT(*) AS "count"', '"count" DESC, warehouse_id'),
     "orders_by_product": ("fact_orders", "product_id", 'COUNT(*) AS "count"', '"count" DESC, product_id'),
@@ -182,13 +183,18 @@ def _chart_data(t: Tables, chart: charts.Chart) -> DataFrame:
 for _name, (_table, _keys, _metric, _order) in _CHART_SQL.items():
     register(
         f"chart_{_name}",
-        f"SELECT {_keys}, {_metric} FROM {_table} GROUP BY {_keys} ORDER BY {_order} LIMIT 1000",
+        f"SELECT {_keys}, {_metric} FROM {_table} GROUP BY {_keys} ORDER BY {_order}",
         lambda t, c=charts.CHARTS[_name]: charts.chart_query(_chart_data(t, c), c),
     )
+register(
+    "chart_ten_products",
+    'SELECT product_id, COUNT(*) AS "count" FROM fact_orders GROUP BY product_id ORDER BY "count" DESC, product_id LIMIT 10',
+    lambda t: charts.chart_query(t.curated("fact_orders"), replace(charts.CHARTS["orders_by_product"], row_limit=10)),
+)
 register(
     "chart_returns_by_warehouse",
     "SELECT o.warehouse_id, COUNT(*) AS total_returns FROM fact_returns r JOIN fact_orders o ON r.order_id = o.order_id "
-    "GROUP BY o.warehouse_id ORDER BY total_returns DESC, o.warehouse_id LIMIT 1000",
+    "GROUP BY o.warehouse_id ORDER BY total_returns DESC, o.warehouse_id",
     lambda t: charts.chart_query(
         _chart_data(t, charts.CHARTS["returns_by_warehouse"]), charts.CHARTS["returns_by_warehouse"]
     ),
