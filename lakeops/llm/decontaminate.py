@@ -194,7 +194,8 @@ def contaminated(
     side = F.broadcast(items) if items.count() <= broadcast_windows else items
     slots = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
     matches = found.join(side, "key").select("id", "item", "key", (F.col("position") - F.col("at")).alias("diagonal"), slots.alias("slots"))
-    matches = stored(matches)
+    matches = stored(matches, 1000)
+    shared.destroy()
     on = ["id", "item", "diagonal"]
     # A slot value of the item stands against one value of the document on a diagonal, or the diagonal does not count.
     values = matches.filter(F.size("slots") > 0).select(*on, F.explode("slots").alias("slot"))

@@ -33,6 +33,7 @@ ORDER = 5
 BITS = 12
 MODEL_BYTES = 128 << 20
 ENTRY_BYTES = 16
+BATCH_ROWS = 1000
 LANGUAGES = 10_000  # a broadcast table of bands has at most so many rows
 LOWER, UPPER, SHORT, MIN_TEXTS = 16.0, 10.0, 400.0, 50
 START = 1  # class of the padding before a text
@@ -41,29 +42,33 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 
 
 def _fold_table() -> np.ndarray:
-    table = np.arange(0x110000, dtype=np.uint64)
+    table = np.arange(0x0800, dtype=np.uint64)
     for c in range(0x0800):
         low = chr(c).lower()
         table[c] = 0x20 if chr(c).isspace() else 0x30 if chr(c).isdigit() else ord(low) if len(low) == 1 and ord(low) < 0x0800 else c
     table[0:2] = 2
-    table[0x0800:] = 0x0800 + table[0x0800:] % np.uint64(2039)
     return table
 
 
+def folded(chars: np.ndarray) -> np.ndarray:
+    """The class of each code point."""
+    if not _fold:
+        _fold.append(_fold_table())
+    return np.where(chars < 0x0800, _fold[0][np.minimum(chars, 0x07FF)], (0x0800 + chars % 2039).astype(np.uint64))
+
+
 _fold: list[np.ndarray] = []
 
 
 def ngram_keys(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     """The key of the n-gram that ends at each character (padded at a text's start), and characters per text."""
-    if not _fold:
-        _fold.append(_fold_table())
     chunk = Chunk(texts)
     chars = np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     lengths = chunk.count_bytes((chunk.data & 0xC0) != 0x80)
     pad = order - 1
     at = np.arange(len(chars)) + pad * np.repeat(np.arange(1, len(lengths) + 1), lengths)
     padded = np.full(len(chars) + pad * len(lengths), START, np.uint64)
-    padded[at] = _fold[0][chars]
+    padded[at] = folded(chars)
     keys = np.zeros(len(padded), np.uint64)
     for k in range(order):
         keys[k:] |= padded[: len(padded) - k] << np.uint64(BITS * k)
@@ -338,7 +343,7 @@ def quality_rules(
     ``docs`` needs the columns text and lang; other names in ``keep`` must not clash with the added ones.
     """
     spark = docs.sparkSession
-    model = stored(kneser_ney(stored(count_ngrams(docs, order)), order))
+    model = stored(kneser_ney(stored(count_ngrams(docs, order), BATCH_ROWS), order))
     small = model.count() * ENTRY_BYTES <= model_bytes
     shared = spark.sparkContext.broadcast(_arrays(model, order)) if small else None
     source = docs.select(*keep, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.col("text").cast("string").alias("__text"))
@@ -353,7 +358,9 @@ def quality_rules(
         scores = score_by_join(texts.dropDuplicates(["lang", "id"]), model, order)
         out = out.join(scores.select(F.col("lang").alias("__lang"), F.col("id").alias("__id"), "logp"), ["__lang", "__id"], "left").drop("__id")
     x = F.when(F.col("n_scored") > 0, F.round(-F.col("logp") / F.col("n_scored"), 9))
-    out = stored(out.withColumn("log_perplexity", x).withColumn("base_failed", base_failed()))
+    out = stored(out.withColumn("log_perplexity", x).withColumn("base_failed", base_failed()), BATCH_ROWS)
+    if shared:
+        shared.destroy()
     limits = bands(out.filter("NOT base_failed").select(F.col("__lang").alias("lang"), F.col("log_perplexity").alias("x")))
     limits = stored(limits.withColumnRenamed("lang", "__lang"))
     limits = F.broadcast(limits) if limits.count() <= LANGUAGES else limits

@@ -16,8 +16,22 @@ def new_folder(spark: SparkSession) -> str:
     return path.toString()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: computed once, and lost executors cost no recomputation."""
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, rows_per_batch: int | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: computed once, and lost executors cost no recomputation.
+
+    ``rows_per_batch`` bounds the Arrow batches of this one job, for operators that hold several copies of a batch.
+    """
     folder = f"{new_folder(df.sparkSession)}/table"
-    df.write.parquet(folder)
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH, None)
+    if rows_per_batch:
+        conf.set(BATCH, str(rows_per_batch))
+    try:
+        df.write.parquet(folder)
+    finally:
+        if rows_per_batch:
+            conf.unset(BATCH) if before is None else conf.set(BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

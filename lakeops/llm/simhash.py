@@ -232,7 +232,7 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT, plan: list[tuple
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     """(id, fingerprint, component_id): component_id is the smallest id reachable over links, the document's own included."""
-    marked = stored(fingerprints(docs, id, text, size))
+    marked = stored(fingerprints(docs, id, text, size), 1000)
     different = stored(marked.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(links(different.select("fp"), radius, hot))
     rooted = stored(different.join(roots, different["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))

@@ -47,8 +47,7 @@ def test_ten_operators_and_the_pipeline_are_registered():
 
 def plain_kneser_ney(texts, order):
     """log probability of every text under an interpolated modified Kneser-Ney model, with dictionaries."""
-    fold = quality._fold_table()
-    sequences = [[quality.START] * (order - 1) + [int(fold[ord(c)]) for c in t] for t in texts]
+    sequences = [[quality.START] * (order - 1) + [int(c) for c in quality.folded(np.array([ord(c) for c in t], np.uint32))] for t in texts]
     tables = {order: Counter(tuple(s[i : i + order]) for s in sequences for i in range(len(s) - order + 1))}
     for k in range(order - 1, 0, -1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
