@@ -38,19 +38,23 @@ class Mark:
 def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table, but_load: str | None = None) -> Mark | None:
     """Largest mark of the stored table, without the rows of the load ``but_load``; None when there are no rows.
 
-    ``event_date`` is the date of the mark column, so the largest mark lies in the newest partition: that partition is found
-    from partition values alone and only its mark column is read.
+    ``event_date`` is the date of the mark column, so the largest mark lies in the newest date that has a mark.  Dates are
+    folder names: one listing gives them, and only the newest folder's files are opened.  Dates that hold nothing but the load
+    ``but_load`` are passed over by listing their loads, without a job; dates whose marks are all NULL cost a job each.
     """
     contract = tables.contract_of(table)
     if not tables.table_exists(spark, warehouse, contract):
         return None
-    stored = tables.scan(spark, warehouse, contract, keep_load_id=True)
-    if but_load is not None:
-        stored = stored.where(F.col("load_id") != but_load)
-    newest = stored.select(F.max("event_date")).scalar()
-    top = stored.where(F.col("event_date") == newest).select(F.max(contract.mark).cast("string")).first()[0]
-    kind = contract.schema[contract.mark].dataType.simpleString()
-    return None if top is None else Mark(top, kind)
+    for date in tables.stored_dates(spark, warehouse, contract):
+        if but_load is not None and set(tables.loads_of(spark, warehouse, contract, date)) <= {but_load}:
+            continue
+        rows = tables.scan_date(spark, warehouse, contract, date)
+        if but_load is not None:
+            rows = rows.where(F.col("load_id") != but_load)
+        top = rows.select(F.max(contract.mark).cast("string")).first()[0]
+        if top is not None:
+            return Mark(top, contract.schema[contract.mark].dataType.simpleString())
+    return None
 
 
 def newer_than(df: DataFrame, column: str, mark: Mark | None, lookback_hours: int = 0, ties: bool = False) -> DataFrame:

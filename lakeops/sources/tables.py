@@ -7,8 +7,8 @@ A table is a Parquet folder ``<warehouse>/<module>/<name>`` partitioned by ``eve
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lakeops.contracts import TABLES, Table
 
 PARTITION_COLUMNS = ("event_date", "load_id")
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder that Spark's writer gives NULL
 
 
 def table_path(warehouse: str, table: str) -> str:
@@ -33,20 +34,49 @@ def scan(spark: SparkSession, warehouse: str, table: str | Table, keep_load_id:
     The schema is declared, so no file is opened to infer it.  Raises ``AnalysisException`` when the table does not exist.
     """
     contract = contract_of(table)
-    stored = T.StructType(contract.schema.fields + [T.StructField("load_id", T.StringType())])
-    df = spark.read.schema(stored).parquet(table_path(warehouse, contract.name))
+    df = spark.read.schema(_stored_schema(contract)).parquet(table_path(warehouse, contract.name))
     return df if keep_load_id else df.select(*contract.column_names)
 
 
+def scan_date(spark: SparkSession, warehouse: str, table: str | Table, date: str) -> DataFrame:
+    """The rows of one date with their ``load_id``; only that date's folder is listed."""
+    contract = contract_of(table)
+    root = table_path(warehouse, contract.name)
+    return spark.read.schema(_stored_schema(contract)).option("basePath", root).parquet(f"{root}/event_date={date}")
+
+
+def _stored_schema(contract: Table) -> T.StructType:
+    return T.StructType(contract.schema.fields + [T.StructField("load_id", T.StringType())])
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system that holds the path, and the path as that file system takes it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of the folders ``column=value`` right below the path: one listing of one level."""
+    files, folder = _folder(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    return [unquote(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")]
+
+
 def table_exists(spark: SparkSession, warehouse: str, table: str | Table) -> bool:
-    """Resolves the path only; runs no job."""
-    try:
-        scan(spark, warehouse, table)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether the table's folder exists; lists no file and runs no job."""
+    files, folder = _folder(spark, table_path(warehouse, contract_of(table).name))
+    return files.exists(folder)
+
+
+def stored_dates(spark: SparkSession, warehouse: str, table: str | Table) -> list[str]:
+    """The dates that have a folder, newest first.  What reaches the driver is one name per calendar day."""
+    dates = _partition_values(spark, table_path(warehouse, contract_of(table).name), "event_date")
+    return sorted((d for d in dates if d != NULL_PARTITION), reverse=True)
+
+
+def loads_of(spark: SparkSession, warehouse: str, table: str | Table, date: str) -> list[str]:
+    """The loads that wrote rows of a date."""
+    return _partition_values(spark, f"{table_path(warehouse, contract_of(table).name)}/event_date={date}", "load_id")
 
 
 def conform_to(df: DataFrame, contract: Table) -> DataFrame:

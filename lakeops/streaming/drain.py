@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.contracts import TABLES, Feed
 from lakeops.functions.calendar import utc_now
-from lakeops.operators import conform, dedupe
+from lakeops.operators import conform, dedupe, joins
 from lakeops.sources import tables
 
 
@@ -35,7 +36,8 @@ def write_events(
     try:
         valid = conform.valid_events(decoded, feed)
         if unique:
-            valid = _not_yet_loaded(dedupe.one_row_per(valid, "event_id"), feed, warehouse, load_id)
+            days = valid.select("event_date").distinct()
+            valid = _not_yet_loaded(dedupe.one_row_per(valid, "event_id"), days, feed, warehouse, load_id)
         tables.append(valid, warehouse, feed.table, load_id)
         now = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else utc_now()
         (
@@ -50,12 +52,12 @@ def write_events(
         decoded.unpersist()
 
 
-def _not_yet_loaded(valid: DataFrame, feed: Feed, warehouse: str, load_id: str) -> DataFrame:
+def _not_yet_loaded(valid: DataFrame, days: DataFrame, feed: Feed, warehouse: str, load_id: str) -> DataFrame:
     spark = valid.sparkSession
     if not tables.table_exists(spark, warehouse, feed.table):
         return valid
     stored = tables.scan(spark, warehouse, TABLES[feed.table], keep_load_id=True).where(F.col("load_id") != load_id)
-    days = F.broadcast(valid.select("event_date").distinct())  # at most one row per calendar day
+    days = F.broadcast(days) if joins.fits_broadcast(days) else days
     return dedupe.not_stored(valid, stored.join(days, "event_date", "left_semi"), "event_id")
 
 
@@ -96,7 +98,8 @@ def drain(
 ) -> None:
     """Drain all queues of a feed into its one raw table, side by side; ``source(queue)`` gives a queue's stream.
 
-    With ``unique`` the queues run one after the other, so that each sees the ids the others stored.
+    With ``unique`` the queues run one after the other, so that each sees the ids the others stored.  If a queue fails, the
+    queues beside it are drained to their end before the first failure is raised.
     """
     tables.ensure_table(spark, warehouse, feed.table)
     running = []
@@ -105,5 +108,11 @@ def drain(
         running.append(query)
         if unique:
             query.awaitTermination()
+    failures = []
     for query in running:
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as failure:
+            failures.append(failure)
+    if failures:
+        raise failures[0]

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from lakeops.contracts import FEEDS, REGIONS, Feed
+from lakeops.contracts import FEEDS, REGIONS, TABLES, Feed
 from lakeops.functions.ids import region_of
-from lakeops.operators import checks, conform, dedupe, views
+from lakeops.operators import checks, conform, dedupe, incremental, views
 from lakeops.plans import curate
 from lakeops.sources import feeds, replay, tables, testdata
 from lakeops.streaming import drain, windows
@@ -284,6 +284,52 @@ def stored_table_checks(t: Tables) -> DataFrame:
     return checks.check_tables(t.spark, _store_routes(t), names)
 
 
+_STORED = ("logistics_core.fact_vehicle_routes", "dimensions.dim_route")
+
+
+@query(
+    "stored_high_water_marks",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST(MAX({TABLES[n].mark}) AS TIMESTAMP) AS mark FROM {n.split('.')[1]}" for n in _STORED),
+)
+def stored_high_water_marks(t: Tables) -> DataFrame:
+    """The marks of two stored tables, a timestamp and a date, as the incremental jobs read them."""
+    warehouse, rows = _store_routes(t), []
+    for name in _STORED:
+        mark = incremental.high_water_mark(t.spark, warehouse, name)
+        value = F.lit(mark.value).cast(mark.kind) if mark else F.lit(None)
+        rows.append(t.spark.range(1).select(F.lit(name).alias("table_name"), value.cast("timestamp_ntz").alias("mark")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    "sql_on_stored_derived_view",
+    "SELECT COUNT(*) AS days, CAST(SUM(updates) AS BIGINT) AS updates, MAX(updates) AS most FROM "
+    "(SELECT event_date, COUNT(*) AS updates FROM fact_vehicle_routes GROUP BY event_date) d",
+)
+def sql_on_stored_derived_view(t: Tables) -> DataFrame:
+    """A view of a query over another view, both kept in the catalog."""
+    views.register_views(t.spark, _store_routes(t), _STORED[:1])
+    per_day = "SELECT event_date, COUNT(*) AS updates FROM logistics_core.fact_vehicle_routes GROUP BY event_date"
+    views.register_derived_view(t.spark, "/".join([t.scratch, "warehouse"]), "logistics_core.updates_per_day", per_day)
+    return t.spark.sql("SELECT COUNT(*) AS days, SUM(updates) AS updates, MAX(updates) AS most FROM logistics_core.updates_per_day")
+
+
+@query(
+    "view_checks",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, TRUE AS table_exists, COUNT(*) AS row_count, CASE WHEN COUNT(*) > 0 THEN 'ok' ELSE 'bad' END AS status, "
+        f"concat('count=', CAST(COUNT(*) AS VARCHAR)) AS message FROM {n.split('.')[1]}"
+        for n in _STORED
+    )
+    + " UNION ALL SELECT 'dimensions.dim_vehicle', FALSE, NULL, 'skipped', 'table not found'",
+)
+def view_checks(t: Tables) -> DataFrame:
+    """Two registered views and one that does not exist."""
+    views.register_views(t.spark, _store_routes(t), _STORED)
+    t.spark.sql("DROP VIEW IF EXISTS dimensions.dim_vehicle")
+    return checks.check_views(t.spark, (*_STORED, "dimensions.dim_vehicle"))
+
+
 @query(
     "one_row_per_event",
     "SELECT * EXCLUDE (pick) FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts, event_type, movement_id, "
