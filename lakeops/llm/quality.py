@@ -18,6 +18,7 @@ Null text: no words, base rules fail.  Null language: a language of its own, nam
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ BITS = 12
 MODEL_BYTES = 128 << 20
 ENTRY_BYTES = 16
 BATCH_ROWS = 1000
-LANGUAGES = 10_000  # a broadcast table of bands has at most so many rows
+LANGUAGES = 10_000  # a broadcast table of bands or discounts has at most so many rows
 LOWER, UPPER, SHORT, MIN_TEXTS = 16.0, 10.0, 400.0, 50
 START = 1  # class of the padding before a text
 SYMBOLS = np.zeros(256, bool)
@@ -122,52 +123,52 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _discounts(table: DataFrame) -> DataFrame:
-    """Modified Kneser-Ney discounts d1, d2, d3 per language from the counts of counts; 0.5, 1 and 1.5 where these are too few."""
+    """Modified Kneser-Ney discounts d1, d2, d3 per language and length from the counts of counts; 0.5, 1 and 1.5 where these are too few."""
     of = lambda k: F.sum(F.when(F.col("n") == k, 1).otherwise(0))
-    sums = table.groupBy("lang").agg(*[of(k).alias(f"t{k}") for k in range(1, 5)])
+    sums = table.groupBy("lang", "length").agg(*[of(k).alias(f"t{k}") for k in range(1, 5)])
     y = F.col("t1") / (F.col("t1") + 2 * F.col("t2"))
     formula = lambda k: k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}")
     usable = (F.col("t1") > 0) & (F.col("t2") > 0) & (F.col("t3") > 0)
     at = lambda k: F.when(usable, F.greatest(F.lit(0.0), F.least(F.lit(float(k)), F.try_divide(formula(k), F.lit(1))))).otherwise(k / 2)
-    return sums.select("lang", *[at(k).alias(f"d{k}") for k in (1, 2, 3)])
+    return sums.select("lang", "length", *[at(k).alias(f"d{k}") for k in (1, 2, 3)])
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, length, key, logp, logb) of all n-grams up to ``order``; logb is the back-off weight of the key as a context, or null.
 
-    The longest n-grams have their counts; shorter ones the number of different characters before them.
+    The longest n-grams have their counts; shorter ones the number of different characters before them.  Discounts, contexts and
+    each n-gram's own share are formed for all lengths at once; only the back-off goes from length to length.
     """
     tables = {order: counts}
     for k in range(order - 1, 0, -1):
         tables[k] = stored(tables[k + 1].groupBy("lang", F.col("key").bitwiseAND((1 << BITS * k) - 1).alias("key")).agg(F.count("*").alias("n")))
+    rows = reduce(DataFrame.unionByName, [table.withColumn("length", F.lit(k)) for k, table in tables.items()])
+    rows = rows.withColumn("context", F.shiftright("key", BITS))
+    discounts = stored(_discounts(rows))
+    discounts = F.broadcast(discounts) if discounts.count() <= LANGUAGES else discounts
+    on = ["lang", "length", "context"]
+    kind = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    gamma = (F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total")
+    contexts = (
+        rows.groupBy(*on)
+        .agg(F.sum("n").alias("total"), kind(F.col("n") == 1).alias("n1"), kind(F.col("n") == 2).alias("n2"), kind(F.col("n") > 2).alias("n3"))
+        .join(discounts, ["lang", "length"])
+    )
+    contexts = stored(contexts.select(*on, "total", "d1", "d2", "d3", gamma.alias("gamma")))
+    used = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    share = ((F.col("n") - used) / F.col("total")).alias("share")
+    own = stored(rows.join(contexts, on).select("lang", "length", "key", share, "gamma"))
     lower = tables[1].groupBy("lang").agg((1.0 / (F.count("*") + 1)).alias("lower")).withColumn("suffix", F.lit(0).cast("long"))
     out: list[DataFrame] = []
-    weights: list[DataFrame] = []
     for k in range(1, order + 1):
-        mask = (1 << BITS * (k - 1)) - 1
-        rows = tables[k].withColumns({"context": F.shiftright("key", BITS), "suffix": F.col("key").bitwiseAND(mask)})
-        d = _discounts(tables[k])
-        kind = lambda test: F.sum(F.when(test, 1).otherwise(0))
-        contexts = (
-            rows.groupBy("lang", "context")
-            .agg(F.sum("n").alias("total"), kind(F.col("n") == 1).alias("n1"), kind(F.col("n") == 2).alias("n2"), kind(F.col("n") > 2).alias("n3"))
-            .join(d, "lang")
-            .withColumn("gamma", (F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total"))
-        )
-        used = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        scored = rows.join(contexts.drop("n1", "n2", "n3"), ["lang", "context"]).join(lower, ["lang", "suffix"])
-        p = (F.col("n") - used) / F.col("total") + F.col("gamma") * F.col("lower")
-        scored = stored(scored.select("lang", "key", p.alias("p")))
-        out.append(scored.select("lang", F.lit(k).alias("length"), "key", F.log("p").alias("logp")))
-        weights.append(contexts.select("lang", F.lit(k - 1).alias("length"), F.col("context").alias("key"), F.log(F.greatest(F.lit(1e-12), "gamma")).alias("logb")))
+        level = own.filter(F.col("length") == k).withColumn("suffix", F.col("key").bitwiseAND((1 << BITS * (k - 1)) - 1))
+        p = F.col("share") + F.col("gamma") * F.col("lower")
+        scored = stored(level.join(lower, ["lang", "suffix"]).select("lang", "length", "key", p.alias("p")))
+        out.append(scored.select("lang", "length", "key", F.log("p").alias("logp")))
         lower = scored.select("lang", F.col("key").alias("suffix"), F.col("p").alias("lower"))
-    model = out[0]
-    for k in range(1, order):
-        model = model.unionByName(out[k])
-    bows = weights[0]
-    for k in range(1, order):
-        bows = bows.unionByName(weights[k])
-    return model.join(bows, ["lang", "length", "key"], "full")
+    weight = F.log(F.greatest(F.lit(1e-12), "gamma")).alias("logb")
+    weights = contexts.select("lang", (F.col("length") - 1).alias("length"), F.col("context").alias("key"), weight)
+    return reduce(DataFrame.unionByName, out).join(weights, ["lang", "length", "key"], "full")
 
 
 Level = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -324,9 +325,9 @@ def bands(scored: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
         ordered = counted.withColumns({"up": up, "all": F.sum("n").over(Window.partitionBy("lang"))})
         return ordered.filter(2 * F.col("up") >= F.col("all")).groupBy("lang").agg(F.min("v").alias(name), F.max("all").alias("texts"))
 
-    middle = median(bins, "bin", "middle")
+    middle = stored(median(bins, "bin", "middle"))
     far = bins.join(middle.drop("texts"), "lang").withColumn("far", F.round(F.abs(F.col("bin") - F.col("middle")), 3))
-    spread = median(far, "far", "mad")
+    spread = stored(median(far, "far", "mad"))
     out = middle.join(spread.drop("texts"), "lang").filter(F.col("texts") >= min_texts)
     return out.select("lang", "middle", F.greatest(F.lit(0.01), 1.4826 * F.col("mad")).alias("spread"))
 
