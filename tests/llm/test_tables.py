@@ -109,6 +109,18 @@ def test_bands_reject_outliers_of_a_language(spark):
     assert quality.quality_rules(df.limit(0), ["doc_id"]).count() == 0
 
 
+def test_bands_reject_scrambled_words(spark):
+    draw = random.Random(5)
+    words = "the of and to in that it was for on with as his they be at one have this from".split()
+    texts = [[draw.choice(words) for _ in range(150)] for _ in range(200)]
+    clean = [(k, " ".join(t), "en") for k, t in enumerate(texts)]
+    scrambled = lambda t: " ".join("".join(draw.sample(w, len(w))) if draw.random() < 0.2 else w for w in t)
+    junk = [(1000 + k, scrambled(texts[k]), "en") for k in range(4)]
+    df = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df, ["doc_id"]).collect()}
+    assert not any(kept[i] for i, _, _ in junk) and sum(not kept[i] for i, _, _ in clean) <= 4
+
+
 # Line dedup
 
 
