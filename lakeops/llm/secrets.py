@@ -2,7 +2,7 @@
 
 A candidate of the second kind is reported only if it decodes and its structure holds:
 
-* ``key``: a base64 or hexadecimal run whose bytes are a private key, either DER (nested lengths that fill the whole, with the members of
+* ``key``: a base64 or hexadecimal run, or the part of one after a separator or 0x, whose bytes are a private key, either DER (nested lengths that fill the whole, with the members of
   a PKCS#1, PKCS#8, encrypted PKCS#8 or SEC 1 key) or the OpenSSH container (every length-prefixed string ends inside the data);
 * ``pem``: a PEM block whose body is such a key;
 * ``jwt``: a signed token, whose header and payload are base64url JSON objects and whose header names its algorithm.
@@ -30,8 +30,10 @@ ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[
 ASSIGN_CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0-9+/=_-])")
+ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0-9+/=_-])")
+KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+])|(?<![A-Za-z0-9+])0[xX])(?=M[A-I]|b3BlbnNzaC1rZXktdjEA|30|6[fF]70656[eE])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
+HEX_HEADER, HEX_ANY = re.compile("[0-9A-Fa-f]{12}"), re.compile("[0-9A-Fa-f]+")
 PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 OPENSSH = b"openssh-key-v1\x00"
 
@@ -114,6 +116,38 @@ def is_private_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_openssh_key(data))
 
 
+def der_length(data: bytes) -> int:
+    """Bytes of the DER item whose first bytes are ``data``, by its header."""
+    if len(data) < 2 or not data[1] & 0x80:
+        return 2 + data[1] if len(data) > 1 else 0
+    n = data[1] & 0x7F
+    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if 1 <= n <= 4 and len(data) >= 2 + n else 0
+
+
+def key_within(run: str) -> tuple[int, int] | None:
+    """Where a key stands in a run: at its start or after a separator in it (/, -, _), with or without 0x, up to the run's end.
+
+    A start whose DER header does not tell the length of what follows is not decoded further.
+    """
+    plain = len(run.rstrip("="))
+    last_safe = max(run.rfind("-"), run.rfind("_"))
+    for m in KEY_START.finditer(run, 0, plain):
+        at = m.end()
+        n = plain - at
+        if run.startswith(("30", "6f", "6F"), at):
+            if n % 2 or not (run.startswith("6", at) or HEX_HEADER.match(run, at) and der_length(bytes.fromhex(run[at : at + 12])) * 2 == n):
+                continue
+            if HEX_ANY.fullmatch(run, at, plain) and is_private_key(bytes.fromhex(run[at:plain])):
+                return at, plain
+        else:
+            url_safe = last_safe >= at
+            if run[at] == "M" and -(-der_length(decoded(run[at : at + 8], url_safe) or b"") * 4 // 3) != n:
+                continue
+            if is_private_key(decoded(run[at:], url_safe)):
+                return at, len(run)
+    return None
+
+
 def is_json_object(part: str) -> dict | None:
     data = decoded(part, url_safe=True)
     try:
@@ -128,12 +162,9 @@ def confirmed_spans(text: str) -> list[Span]:
     if "PRIVATE KEY-----" in text:
         spans += [("pem", m.start(), m.end()) for m in PEM.finditer(text) if is_private_key(decoded(m[2]))]
     for m in ENCODED.finditer(text):
-        run = m[0]
-        plain = run.rstrip("=")
-        if len(plain) % 2 == 0 and re.fullmatch(r"[0-9A-Fa-f]+", plain) and is_private_key(bytes.fromhex(plain)):
-            spans.append(("key", m.start(), m.start() + len(plain)))
-        elif is_private_key(decoded(run, url_safe="-" in run or "_" in run)):
-            spans.append(("key", m.start(), m.end()))
+        found = key_within(m[0])
+        if found:
+            spans.append(("key", m.start() + found[0], m.start() + found[1]))
     if "eyJ" in text:
         for m in TOKEN.finditer(text):
             header = is_json_object(m[1])

@@ -90,6 +90,25 @@ def test_keys_are_confirmed_by_structure(key):
     assert not secrets.confirmed_spans(f"a {broken} b")
 
 
+@pytest.mark.parametrize("key", [RSA, PKCS8, EC, OPENSSH])
+@pytest.mark.parametrize("before", ["PRIVATE_KEY=", 'key="', "a.", "https://example.org/keys/", "id/", "/", "SIGNING_KEY-", "k_", "a/-", "M/MA/", "M" * 50 + "/"])
+def test_keys_after_a_name_or_a_path(key, before):
+    at = len(before)
+    coded = base64.b64encode(key).decode()
+    assert secrets.confirmed_spans(f"{before}{coded} b") == [("key", at, at + len(coded))]
+    plain = coded.rstrip("=")
+    assert secrets.confirmed_spans(f"{before}{plain}\n") == [("key", at, at + len(plain))]
+    for start in ("", "0x", "0X"):
+        for coded in (key.hex(), key.hex().upper()):
+            assert secrets.confirmed_spans(f"{before}{start}{coded}") == [("key", at + len(start), at + len(start + coded))]
+    broken = base64.b64encode(key[:-3]).decode()
+    assert not secrets.confirmed_spans(f"{before}{broken} b") and not secrets.confirmed_spans(f"{before}x{plain}")
+
+
+def test_long_runs_of_key_starts_are_scanned():
+    assert secrets.confirmed_spans("/MIIB" * 100_000) == [] == secrets.confirmed_spans("/0x30" * 100_000)
+
+
 def test_signed_tokens_need_json_parts():
     part = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
     token = ".".join([part(json.dumps({"alg": "HS256"}).encode()), part(b'{"sub": 1}'), "s" * 43])
