@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.scratch import stored
 
-RATIO, MIN_PAGES = 0.1, 3
+RATIO, MIN_PAGES = 0.002, 3
 SET_BYTES = 32 << 20
 LINE_BYTES = 32
 HAS_WORD = r"[^\x20\x09-\x0D]"

@@ -137,6 +137,12 @@ def test_line_dedup_on_odd_tables(spark):
     assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_lines_on_a_hundredth_of_a_source_go(spark):
+    pages = [(k, "s", f"story {k}\nLicensed to all." if k % 100 == 0 else f"story {k}\nTwice." if k < 3 else f"story {k}") for k in range(400)]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(spark.createDataFrame(pages, "doc_id long, source string, text string")).collect()}
+    assert out == {k: t.replace("\nLicensed to all.", "") for k, _, t in pages}
+
+
 # Mixing
 
 
