@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from lakeops.llm import decontaminate, line_dedup, mixing, quality, queries, simhash, warc
+from lakeops.llm import decontaminate, line_dedup, mixing, near_copies, quality, queries, simhash, warc
 from lakeops.llm.components import components
 from verification.compare import differences, duckdb_on
 
@@ -372,6 +372,38 @@ def test_pipeline_stages(spark, sf_dir, documents, rows):
     assert mixed == left
 
 
+def plain_shingles(text):
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)]) if words else frozenset()
+
+
+def test_near_copies_are_found_by_five_words(spark, sf_dir):
+    draw = random.Random(8)
+    word = lambda: f"w{draw.randrange(3000)}"
+    base, passage = [word() for _ in range(150)], [word() for _ in range(120)]
+    texts = [" ".join(word() for _ in range(60)) for _ in range(20)] + [" ".join(passage + [word() for _ in range(25 + k)]) for k in range(20)]
+    for k in range(60):
+        copy = list(base)
+        for _ in range(k % 7):
+            copy[draw.randrange(len(copy))] = word()
+        texts.append(" ".join(copy if k % 2 else copy[k // 4 :]))
+    texts += ["A b", "a  B\n", "a c", "", texts[5].upper(), texts[6], texts[50] + " end"]
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    for crowd in (3, 48):
+        found = defaultdict(set)
+        for r in near_copies.near_copies(df.withColumn("key", F.xxhash64("text")), "key", crowd=crowd).collect():
+            found[r["component"]].add(r["id"])
+        assert sorted(map(sorted, found.values())) == sorted([i for i in range(len(root)) if root[i] == x] for x in set(root))
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == {k for k, r in enumerate(root) if k == r} and len(set(root)) < 70
+
+
 def test_pipeline_on_odd_documents(spark, sf_dir):
     text = " ".join(f"word{k}" for k in range(60))
     docs = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (2, text.upper(), None, None, None), (None, text + " more words", "en", "a", 1), (3, None, None, None, None), (4, "", "en", "b", 0)]
