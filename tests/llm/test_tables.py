@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -377,6 +378,14 @@ def plain_shingles(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)]) if words else frozenset()
 
 
+def test_shingle_sets_of_any_slice(rows):
+    texts = pa.array([r["text"] for r in rows] + [None, "", "a B", "A b"])
+    for a, b in ((0, len(texts)), (100, 150), (150, len(texts))):
+        found, hashes, n, digest = near_copies.shingle_sets(texts[a:b])
+        sets = [plain_shingles(t) for t in texts[a:b].to_pylist()]
+        assert n.tolist() == [len(x) for x in sets] and len(set(digest.tolist())) == len(set(sets))
+
+
 def test_near_copies_are_found_by_five_words(spark, sf_dir):
     draw = random.Random(8)
     word = lambda: f"w{draw.randrange(3000)}"
@@ -404,6 +413,15 @@ def test_near_copies_are_found_by_five_words(spark, sf_dir):
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == {k for k, r in enumerate(root) if k == r} and len(set(root)) < 70
 
 
+def test_decontamination_judges_rows_not_ids(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    clean = " ".join(f"word{k}" for k in range(60))
+    docs = [(None, item), (None, clean), (1, item), (1, clean), (2, clean)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = corpus_pipeline.benchmark_decontamination(spark, df, sf_dir).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(None, clean), (1, clean), (2, clean)], key=repr)
+
+
 def test_pipeline_on_odd_documents(spark, sf_dir):
     text = " ".join(f"word{k}" for k in range(60))
     docs = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (2, text.upper(), None, None, None), (None, text + " more words", "en", "a", 1), (3, None, None, None, None), (4, "", "en", "b", 0)]
