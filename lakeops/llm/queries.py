@@ -4,9 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from lakeops.llm import decontaminate, html_text, line_dedup, mixing, pii, quality, secrets, simhash, url_filter, warc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.llm import (
+    byte_convolution,
+    decontaminate,
+    html_text,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    url_filter,
+    warc,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,6 +86,27 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
 
+@query
+def op11_whitening_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", ["vec_id"])
+
+
+def held_out(id: Column) -> Column:
+    """The fold that nothing is learned from."""
+    return F.crc32(id.cast("string")) % 4 == 2
+
+
+@query
+def op12_byte_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_convolution.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out, ["doc_id"])
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), "text", ["doc_id"], id="doc_id", rearrange=periodic_runs.planted_tail)
+    return periodic_runs.digests(found, ["doc_id"])
+
+
 ORACLE["op3_line_dedup"] = rf"""
 WITH lines AS (
     SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at
