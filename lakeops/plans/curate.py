@@ -77,12 +77,11 @@ def newer_rows(
     if contract.key is None:
         rows = tables.conform_to(rows, contract)
         return rows if mark is None else rows.exceptAll(incremental.newer_than(stored, contract.mark, mark, lookback_hours, ties=True))
-    once = dedupe.one_row_per(rows, contract.key)
     if mark is None:
-        return once
+        return dedupe.one_row_per(rows, contract.key)
     if stored_scope == "window":
         stored = stored.where(F.col("event_date") >= mark.cut(lookback_hours).cast("date"))
-    return dedupe.not_stored(once, stored, contract.key)
+    return dedupe.new_once(rows, stored, contract.key)
 
 
 def run(

@@ -56,6 +56,11 @@ def dim_date(raw_orders: DataFrame, raw_returns: DataFrame, raw_dispatch_logs: D
     return days.select(date_id.alias("date_id"), *calendar_parts(date_id), "event_date")
 
 
+def seen_days(dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """First and last day of each key with each set of attributes; only dates are aggregated over the events, which hashes."""
+    return dim.groupBy(key, *attributes).agg(F.min("event_date").alias("first_seen"), F.max("event_date").alias("last_seen"))
+
+
 def current(dim: DataFrame, key: str) -> DataFrame:
     """One row per key: each attribute's value of the last day that has one (the largest of that day), first and last date seen.
 
@@ -63,8 +68,7 @@ def current(dim: DataFrame, key: str) -> DataFrame:
     Spark computes by sorting, then see one row per distinct attribute set.
     """
     attributes = [c for c in dim.columns if c not in (key, "event_date")]
-    seen = dim.groupBy(key, *attributes).agg(F.min("event_date").alias("first_seen"), F.max("event_date").alias("last_seen"))
-    return seen.groupBy(key).agg(
+    return seen_days(dim, key, attributes).groupBy(key).agg(
         *[F.max_by(a, F.when(F.col(a).isNotNull(), F.struct("last_seen", a))).alias(a) for a in attributes],
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),

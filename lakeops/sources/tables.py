@@ -49,34 +49,54 @@ def _stored_schema(contract: Table) -> T.StructType:
     return T.StructType(contract.schema.fields + [T.StructField("load_id", T.StringType())])
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     """The file system that holds the path, and the path as that file system takes it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
 
 
-def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """The values of the folders ``column=value`` right below the path: one listing of one level."""
-    files, folder = _folder(spark, path)
-    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
+    files, root = folder(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(root) if status.isDirectory()]
     return [unquote(name.removeprefix(f"{column}=")) for name in names if name.startswith(f"{column}=")]
 
 
 def table_exists(spark: SparkSession, warehouse: str, table: str | Table) -> bool:
     """Whether the table's folder exists; lists no file and runs no job."""
-    files, folder = _folder(spark, table_path(warehouse, contract_of(table).name))
-    return files.exists(folder)
+    return path_exists(spark, table_path(warehouse, contract_of(table).name))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, root = folder(spark, path)
+    return files.exists(root)
 
 
 def stored_dates(spark: SparkSession, warehouse: str, table: str | Table) -> list[str]:
     """The dates that have a folder, newest first.  What reaches the driver is one name per calendar day."""
-    dates = _partition_values(spark, table_path(warehouse, contract_of(table).name), "event_date")
+    dates = partition_values(spark, table_path(warehouse, contract_of(table).name), "event_date")
     return sorted((d for d in dates if d != NULL_PARTITION), reverse=True)
 
 
 def loads_of(spark: SparkSession, warehouse: str, table: str | Table, date: str) -> list[str]:
     """The loads that wrote rows of a date."""
-    return _partition_values(spark, f"{table_path(warehouse, contract_of(table).name)}/event_date={date}", "load_id")
+    return partition_values(spark, f"{table_path(warehouse, contract_of(table).name)}/event_date={date}", "load_id")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    files, root = folder(spark, path)
+    files.delete(root, True)
+
+
+def load_versions(spark: SparkSession, warehouse: str, table: str | Table) -> dict[str, int]:
+    """The loads that the table holds, each with a digest of its files' names: it changes when a load is replaced.  A row per load reaches the driver."""
+    contract = contract_of(table)
+    if not table_exists(spark, warehouse, contract):
+        return {}
+    rows = spark.read.schema(_stored_schema(contract)).parquet(table_path(warehouse, contract.name))
+    files = rows.select("load_id", F.xxhash64("_metadata.file_path").alias("file")).distinct()
+    return {r["load_id"]: r["version"] for r in files.groupBy("load_id").agg(F.bit_xor("file").alias("version")).collect()}
 
 
 def conform_to(df: DataFrame, contract: Table) -> DataFrame:

@@ -37,7 +37,7 @@ def write_events(
         valid = conform.valid_events(decoded, feed)
         if unique:
             days = valid.select("event_date").distinct()
-            valid = _not_yet_loaded(dedupe.one_row_per(valid, "event_id"), days, feed, warehouse, load_id)
+            valid = _once_and_not_yet_loaded(valid, days, feed, warehouse, load_id)
         tables.append(valid, warehouse, feed.table, load_id)
         now = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else utc_now()
         (
@@ -52,13 +52,13 @@ def write_events(
         decoded.unpersist()
 
 
-def _not_yet_loaded(valid: DataFrame, days: DataFrame, feed: Feed, warehouse: str, load_id: str) -> DataFrame:
+def _once_and_not_yet_loaded(valid: DataFrame, days: DataFrame, feed: Feed, warehouse: str, load_id: str) -> DataFrame:
     spark = valid.sparkSession
     if not tables.table_exists(spark, warehouse, feed.table):
-        return valid
+        return dedupe.one_row_per(valid, "event_id")
     stored = tables.scan(spark, warehouse, TABLES[feed.table], keep_load_id=True).where(F.col("load_id") != load_id)
     days = F.broadcast(days) if joins.fits_broadcast(days) else days
-    return dedupe.not_stored(valid, stored.join(days, "event_date", "left_semi"), "event_id")
+    return dedupe.new_once(valid, stored.join(days, "event_date", "left_semi"), "event_id")
 
 
 def read_quarantine(spark: SparkSession, warehouse: str, feed: Feed) -> DataFrame:
