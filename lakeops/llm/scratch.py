@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.session import shared_dir
@@ -24,7 +26,10 @@ def stored(df: DataFrame, rows_per_batch: int | None = None) -> DataFrame:
 
     ``rows_per_batch`` bounds the Arrow batches of this one job, for operators that hold several copies of a batch.
     """
-    folder = f"{new_folder(df.sparkSession)}/table"
+    return _stored_in(f"{new_folder(df.sparkSession)}/table", df, rows_per_batch)
+
+
+def _stored_in(folder: str, df: DataFrame, rows_per_batch: int | None) -> DataFrame:
     conf = df.sparkSession.conf
     before = conf.get(BATCH, None)
     if rows_per_batch:
@@ -35,3 +40,22 @@ def stored(df: DataFrame, rows_per_batch: int | None = None) -> DataFrame:
         if rows_per_batch:
             conf.unset(BATCH) if before is None else conf.set(BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+class Shelf:
+    """Intermediate tables by name, deleted as soon as they are used up."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, {}
+
+    def put(self, name: str, df: DataFrame, rows_per_batch: int | None = None) -> DataFrame:
+        self.folders[name] = new_folder(self.spark)
+        return _stored_in(f"{self.folders[name]}/table", df, rows_per_batch)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more, and let Spark clear the shuffles that wrote them."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folders.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()

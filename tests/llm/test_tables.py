@@ -361,9 +361,9 @@ def test_pipeline_stages(spark, sf_dir, documents, rows):
     texts = {r["doc_id"]: r for r in docs.collect()}
     assert set(texts) == {i for i in left if verdict[i]} and all(r["n_chars"] == len(r["text"]) for r in texts.values())
     ids = sorted(texts)
-    groups = dict(zip(ids, plain_components(ids, [plain_fingerprint(texts[i]["text"]) for i in ids]), strict=True))
+    root = jaccard_components([texts[i]["text"] for i in ids])
     docs = corpus_pipeline.stored(corpus_pipeline.near_dedup(spark, docs, sf_dir))
-    left = {i for i in ids if groups[i] == i}
+    left = {i for k, i in enumerate(ids) if root[k] == k}
     assert {r["doc_id"] for r in docs.collect()} == left and docs.count() == len(left) < len(ids)
     items = [b["text"] for b in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     docs = corpus_pipeline.stored(corpus_pipeline.benchmark_decontamination(spark, docs, sf_dir))
@@ -378,6 +378,26 @@ def plain_shingles(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)]) if words else frozenset()
 
 
+def jaccard_components(texts):
+    """Per text the first text that links of similarity 0.8 or more lead to; pairs by an index of all shingles."""
+    sets, root, holders = [plain_shingles(t) for t in texts], list(range(len(texts))), defaultdict(list)
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    empty = [i for i, x in enumerate(sets) if not x]
+    for i, x in enumerate(sets):
+        common = Counter(j for g in x for j in holders[g])
+        for j in [j for j, n in common.items() if 9 * n >= 4 * (len(x) + len(sets[j]))] + (empty[:1] if not x else []):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+        for g in x:
+            holders[g].append(i)
+    return [find(i) for i in range(len(texts))]
+
+
 def test_shingle_sets_of_any_slice(rows):
     texts = pa.array([r["text"] for r in rows] + [None, "", "a B", "A b"])
     for a, b in ((0, len(texts)), (100, 150), (150, len(texts))):
@@ -397,22 +417,52 @@ def test_near_copies_are_found_by_five_words(spark, sf_dir):
             copy[draw.randrange(len(copy))] = word()
         texts.append(" ".join(copy if k % 2 else copy[k // 4 :]))
     texts += ["A b", "a  B\n", "a c", "", texts[5].upper(), texts[6], texts[50] + " end"]
-    sets = [plain_shingles(t) for t in texts]
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if sets[i] == sets[j] or 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
-                x, y = root[i], root[j]
-                root = [min(x, y) if r in (x, y) else r for r in root]
+    root = jaccard_components(texts)
     df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     for crowd in (3, 48):
         found = defaultdict(set)
         for r in near_copies.near_copies(df.withColumn("key", F.xxhash64("text")), "key", crowd=crowd).collect():
-            found[r["component"]].add(r["id"])
+            found[r["__component"]].add(r["__id"])
         assert sorted(map(sorted, found.values())) == sorted([i for i in range(len(root)) if root[i] == x] for x in set(root))
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == {k for k, r in enumerate(root) if k == r} and len(set(root)) < 70
 
 
+def test_near_copies_of_a_whole_table(spark):
+    """Every link of the table is found: the components are those of brute force."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    table = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    root = jaccard_components([t for _, t in table])
+    found = defaultdict(set)
+    for r in near_copies.near_copies(docs.withColumn("k", F.xxhash64("text")), "k").collect():
+        found[r["__component"]].add(r["__id"])
+    expected = defaultdict(set)
+    for k, (i, _) in enumerate(table):
+        expected[root[k]].add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values())) and len(expected) < len(table)
+
+
+def test_templates_make_no_pairs_and_crowds_of_copies_few(spark, monkeypatch):
+    """Texts that fill in one template stay apart without being compared; a crowd of near copies costs its number, not its square."""
+    draw, counted, verified = random.Random(3), [], near_copies._verified
+
+    def counting(shelf, pairs, *rest):
+        counted.append(pairs.count())
+        return verified(shelf, pairs, *rest)
+
+    monkeypatch.setattr(near_copies, "_verified", counting)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    passage, base = [word() for _ in range(200)], [word() for _ in range(150)]
+    for n in (150, 300):
+        templates = [" ".join(passage + [word() for _ in range(30 + k % 3)]) for k in range(n)]
+        copies = [" ".join(base[: 60 + k % 80] + [word()] + base[60 + k % 80 :]) for k in range(n)]
+        table = [(k, t) for k, t in enumerate(templates + copies)]
+        df = spark.createDataFrame(table, "doc_id long, text string").repartition(6).withColumn("k", F.xxhash64("text"))
+        counted.clear()
+        root = {r["__id"]: r["__component"] for r in near_copies.near_copies(df, "k").collect()}
+        assert len({root[k] for k in range(n)}) == n and len({root[k] for k in range(n, 2 * n)}) == 1
+        assert sum(counted) < 30 * n
+
+
 def test_decontamination_judges_rows_not_ids(spark, sf_dir):
     item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
     clean = " ".join(f"word{k}" for k in range(60))
@@ -425,7 +475,9 @@ def test_decontamination_judges_rows_not_ids(spark, sf_dir):
 def test_pipeline_on_odd_documents(spark, sf_dir):
     text = " ".join(f"word{k}" for k in range(60))
     docs = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (2, text.upper(), None, None, None), (None, text + " more words", "en", "a", 1), (3, None, None, None, None), (4, "", "en", "b", 0)]
-    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").withColumn("kept", F.lit("own"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("kept", "id", "key", "drop", "set", "component", "position"):
+        df = df.withColumn(name, F.lit("own"))
     for case in (df, df.limit(0)):
         docs = case
         for _, stage in corpus_pipeline.STAGES[:-1]:
