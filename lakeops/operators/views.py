@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.contracts import DIMS, FACTS
@@ -19,21 +18,24 @@ class ViewResult:
 
 
 def register_view(spark: SparkSession, warehouse: str, table: str) -> ViewResult:
-    """Create or replace ``module.table`` over the stored table; a missing table is skipped with a reason."""
+    """Create or replace ``module.table`` over the stored table; a missing table is skipped with a reason.
+
+    The view reads an external catalog table ``module._files_of_<table>`` with the declared schema over the stored folder, so no file is opened to infer
+    one: a column that some files lack, even the newest, is NULL there, and dates and loads still prune folders.  Dropping either leaves the files alone.
+    """
     contract = tables.contract_of(table)
-    path = tables.table_path(warehouse, table)
+    path = tables.table_path(warehouse, contract.name)
     tables.ensure_namespace(spark, warehouse, contract.module)
-    view_name = f"`{contract.module}`.`{contract.short_name}`"
-    typed = [(f"`{f.name}`", f.dataType.simpleString()) for f in contract.schema.fields]
-    listed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in typed)
-    empty = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in typed)
-    try:
-        spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS SELECT {listed} FROM parquet.`{path}`")
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            return ViewResult(table, False, f"missing table {path}: {error.getCondition()}")
-        spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS SELECT {empty} WHERE false")  # the table holds no file yet
-    return ViewResult(table, True)
+    view_name, files_name = f"`{contract.module}`.`{contract.short_name}`", f"`{contract.module}`.`_files_of_{contract.short_name}`"
+    if not tables.table_exists(spark, warehouse, contract):
+        return ViewResult(contract.name, False, f"missing table {path}: PATH_NOT_FOUND")
+    typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.schema.fields)
+    listed = ", ".join(f"`{c}`" for c in contract.column_names)
+    location = path.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {files_name}")
+    spark.sql(f"CREATE TABLE {files_name} ({typed}, load_id string) USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS SELECT {listed} FROM {files_name}")
+    return ViewResult(contract.name, True)
 
 
 def register_views(spark: SparkSession, warehouse: str, names=FACTS + DIMS) -> list[ViewResult]:

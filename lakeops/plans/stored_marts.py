@@ -97,9 +97,8 @@ def _stored_versions(spark: SparkSession, warehouse: str, mart: Mart) -> list[di
 
 def _remove(spark: SparkSession, warehouse: str, mart: Mart, source: int, load: str) -> None:
     """The parts that a load of a source has a share in."""
-    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(load)
     files, root = tables.folder(spark, _path(warehouse, mart))
-    pattern = [("*" if k != source else f"{name}={escaped}") for k, name in enumerate(mart.loads[: source + 1])]
+    pattern = [("*" if k != source else f"{name}={tables.escaped(spark, load)}") for k, name in enumerate(mart.loads[: source + 1])]
     if files.exists(root):
         for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path("/".join([root.toString(), *pattern]))) or []:
             files.delete(status.getPath(), True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,19 @@ def loads_of(spark: SparkSession, warehouse: str, table: str | Table, date: str)
     return partition_values(spark, f"{table_path(warehouse, contract_of(table).name)}/event_date={date}", "load_id")
 
 
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    files, old = folder(spark, source)
+    _, new = folder(spark, target)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder if it is there."""
     files, root = folder(spark, path)
@@ -99,14 +112,15 @@ def load_versions(spark: SparkSession, warehouse: str, table: str | Table) -> di
     return {r["load_id"]: r["version"] for r in files.groupBy("load_id").agg(F.bit_xor("file").alias("version")).collect()}
 
 
-def conform_to(df: DataFrame, contract: Table) -> DataFrame:
-    """Declared columns in declared order and type; a declared column the input lacks is a typed NULL."""
+def conform_to(df: DataFrame, contract: Table, *more: str) -> DataFrame:
+    """Declared columns in declared order and type, and ``more``; a declared column the input lacks is a typed NULL."""
     present = set(df.columns)
     return df.select(
         *[
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in contract.schema.fields
-        ]
+        ],
+        *more,
     )
 
 
@@ -114,11 +128,11 @@ def append(
     df: DataFrame,
     warehouse: str,
     table: str | Table,
-    load_id: str | None = None,
+    load_id: str | Column | None = None,
     by_date: bool = False,
     max_records_per_file: int = 20_000_000,
 ) -> str:
-    """Append the declared columns of ``df`` and return the ``load_id`` written.
+    """Append the declared columns of ``df`` and return the ``load_id`` written.  A column as ``load_id`` gives each row's load.
 
     * ``rebalance`` gives each date its own files of AQE's advisory size and splits a date that holds much of the load, where
       ``repartition("event_date")`` would send it whole to one task.  Pass ``by_date=True`` when the rows come straight from a
@@ -128,9 +142,9 @@ def append(
       ``load_id`` and the same rows replaces itself, and an empty one writes nothing.
     """
     contract = contract_of(table)
-    load = load_id or uuid.uuid4().hex
+    load = uuid.uuid4().hex if load_id is None else load_id
     order = [c for c in (*PARTITION_COLUMNS, contract.mark) if c]
-    rows = conform_to(df, contract).withColumn("load_id", F.lit(load))
+    rows = conform_to(df.withColumn("__load", load if isinstance(load, Column) else F.lit(load)), contract, "__load").withColumnRenamed("__load", "load_id")
     if not by_date:
         rows = rows.hint("rebalance", "event_date")
     (

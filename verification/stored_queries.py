@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from lakeops.contracts import Table, columns
-from lakeops.operators import dedupe, joins
+from dataclasses import replace
+
+from lakeops.contracts import FEEDS, TABLES, Table, columns
+from lakeops.operators import dedupe, joins, views
 from lakeops.plans import current_state, forecast, stored_marts
-from lakeops.sources import tables
+from lakeops.sources import merging, tables
+from lakeops.streaming import drain, late, requeue
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verification import warehouse_queries  # noqa: F401 - its SQL is used below
+from verification.ingest_queries import _DEFECTS, _defect_bodies
 from verification.prediction_queries import RUN_TS
 from verification.registry import ORACLE, Tables, query, register
 
@@ -113,4 +117,77 @@ def bootstrapped_forecasts(t: Tables) -> DataFrame:
     return tables.scan(t.spark, warehouse, "ml_insights.raw_demand_forecast")
 
 
+_WITHOUT_DETAILS = Table("order_errors.fact_order_errors", tuple(c for c in TABLES["order_errors.fact_order_errors"].columns if c.name != "details"))
+
+
+@query(
+    "views_of_differing_files",
+    "SELECT error_code, COUNT(*) AS errors, COUNT(*) FILTER (WHERE day(event_date) % 2 = 0) AS with_details, MAX(event_date) AS last_day "
+    "FROM fact_order_errors GROUP BY error_code",
+)
+def views_of_differing_files(t: Tables) -> DataFrame:
+    """Files with and without a column under one view; the newest have it not."""
+    warehouse, errors = f"{t.scratch}/warehouse", t.curated("fact_order_errors")
+    even = F.day("event_date") % 2 == 0
+    tables.append(errors.where(even).withColumn("details", F.lit("seen")), warehouse, "order_errors.fact_order_errors", "with")
+    tables.append(errors.where(~even), warehouse, _WITHOUT_DETAILS, "without")
+    views.register_view(t.spark, warehouse, "order_errors.fact_order_errors")
+    return t.spark.sql(
+        "SELECT error_code, COUNT(*) AS errors, COUNT(details) AS with_details, MAX(event_date) AS last_day "
+        "FROM order_errors.fact_order_errors GROUP BY error_code"
+    )
+
+
+# Quarantined bodies under a contract that no longer asks for the order.
+_RELAXED = replace(FEEDS["errors"], columns=tuple(c for c in FEEDS["errors"].columns if c.name != "order_id"))
+
+
+@query(
+    "requeued_defects",
+    f"WITH bodies AS ({_DEFECTS}) SELECT CASE WHEN form IN (0, 6, 8, 9, 13) THEN 'first' WHEN form IN (3, 5) THEN 'requeued' ELSE 'quarantine' END AS place, "
+    "CASE WHEN form IN (1, 2, 11) THEN 'not a JSON object' WHEN form = 4 THEN 'missing or invalid: error_code' "
+    "WHEN form = 14 THEN 'missing or invalid: error_code,detected_ts' "
+    "WHEN form NOT IN (0, 3, 5, 6, 8, 9, 13) THEN 'missing or invalid: detected_ts' END AS reason, COUNT(*) AS bodies FROM bodies GROUP BY 1, 2",
+)
+def requeued_defects(t: Tables) -> DataFrame:
+    """Every body in exactly one place after two runs."""
+    warehouse, feed = f"{t.scratch}/warehouse", FEEDS["errors"]
+    drain.write_events(_defect_bodies(t), feed, warehouse, "errors_north-000000000000", ingest_ts="2024-03-01 00:00:00")
+    for run in ("relaxed", "again"):
+        requeue.requeue(t.spark, warehouse, _RELAXED, run)
+    place = F.when(F.col("load_id").startswith("requeued-relaxed-"), "requeued").when(~F.col("load_id").startswith("requeued-"), "first").otherwise("twice")
+    stored = tables.scan(t.spark, warehouse, feed.table, keep_load_id=True).select(place.alias("place"), F.lit(None).cast("string").alias("reason"))
+    left = drain.read_quarantine(t.spark, warehouse, feed).select(F.lit("quarantine").alias("place"), "reason")
+    return stored.unionByName(left).groupBy("place", "reason").agg(F.count("*").alias("bodies"))
+
+
+# A stream of several batches in disorder.
+_TOTALS = {"movements": "1L", "total_delta_qty": "delta_qty"}
+
+
+@query(
+    "stream_daily_inventory_corrected",
+    "SELECT event_date, COUNT(*) AS movements, CAST(SUM(delta_qty) AS BIGINT) AS total_delta_qty FROM raw_inventory_movements GROUP BY event_date",
+)
+def stream_daily_inventory_corrected(t: Tables) -> DataFrame:
+    """Most rows are later than the watermark; totals and corrections together are those of the batch query."""
+    movements = t.raw("raw_inventory_movements").select("event_ts", "delta_qty")
+    movements.repartition(4, F.xxhash64("event_ts", "delta_qty")).write.parquet(f"{t.scratch}/landing")
+    stream = t.spark.readStream.schema(movements.schema).option("maxFilesPerTrigger", 1).parquet(f"{t.scratch}/landing")
+    root = f"{t.scratch}/daily"
+    late.start_daily_totals(stream, root, f"{t.scratch}/checkpoint", "event_ts", "3 days", _TOTALS).awaitTermination()
+    return late.corrected(t.spark, root, movements.schema, "event_ts", _TOTALS)
+
+
+@query("merged_small_loads", "SELECT * FROM fact_vehicle_routes")
+def merged_small_loads(t: Tables) -> DataFrame:
+    """Six loads, merged to one per date, twice."""
+    warehouse, routes = f"{t.scratch}/warehouse", t.curated("fact_vehicle_routes")
+    for k in range(6):
+        tables.append(routes.where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == k), warehouse, "logistics_core.fact_vehicle_routes", f"load-{k}")
+    for _ in range(2):
+        merging.merge_small_loads(t.spark, warehouse, "logistics_core.fact_vehicle_routes")
+    return tables.scan(t.spark, warehouse, "logistics_core.fact_vehicle_routes")
+
+
 ORACLE["bootstrapped_forecasts"] = ORACLE["demand_forecast"]
