@@ -3,11 +3,12 @@
 A candidate of the second kind is reported only if it decodes and its structure holds:
 
 * ``key``: a base64 or hexadecimal run, or the part of one after a separator or 0x, whose bytes are a private key, either DER (nested lengths that fill the whole, with the members of
-  a PKCS#1, PKCS#8, encrypted PKCS#8 or SEC 1 key) or the OpenSSH container (every length-prefixed string ends inside the data);
-* ``pem``: a PEM block whose body is such a key;
+  a PKCS#1, PKCS#8, encrypted PKCS#8 or SEC 1 key) or the OpenSSH container (every length-prefixed string ends inside the data); base64 may be wrapped into lines;
+* ``pem``: a PEM block whose body is such a key, or by its headers an encrypted one of whole cipher blocks; line ends may be escaped, as in JSON;
 * ``jwt``: a signed token, whose header and payload are base64url JSON objects and whose header names its algorithm.
 
-Positions count code points, ends are exclusive.  A null text is empty.  Long texts are scanned whole.
+Positions count code points, ends are exclusive.  A null text is empty.  Long texts are scanned whole, in linear time: lengths are checked before anything is decoded, and a key
+has at most ``KEY_BYTES``.
 """
 
 from __future__ import annotations
@@ -34,7 +35,12 @@ ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}(?![A-Za-z0
 KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+])|(?<![A-Za-z0-9+])0[xX])(?=M[A-I]|b3BlbnNzaC1rZXktdjEA|30|6[fF]70656[eE])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
 HEX_HEADER, HEX_ANY = re.compile("[0-9A-Fa-f]{12}"), re.compile("[0-9A-Fa-f]+")
-PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM_EDGE = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+PEM_HEADERS = re.compile(r"\s*(?:[A-Za-z][A-Za-z-]*:\x20[^\n]*\n(?:[\x20\t][^\n]*\n)*)+\s*\n")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/]+={0,2}")
+ESCAPED_BREAK = re.compile(r"(?:\\r)?\\n")
+BREAK, LINE = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[\x20\t]*"), re.compile(r"[A-Za-z0-9+/]+={0,2}")
+KEY_BYTES = 1 << 14
 OPENSSH = b"openssh-key-v1\x00"
 
 
@@ -116,6 +122,90 @@ def is_private_key(data: bytes | None) -> bool:
     return bool(data) and (is_der_key(data) or is_openssh_key(data))
 
 
+def is_pem_body(body: str) -> bool:
+    """Whether what stands between the edges of a block is a key."""
+    body = ESCAPED_BREAK.sub("\n", body)
+    headers = PEM_HEADERS.match(body)
+    if headers:
+        body = body[headers.end() :]
+    body = "".join(body.split())
+    if not PEM_BODY.fullmatch(body):
+        return False
+    data = decoded(body)
+    if headers and "ENCRYPTED" in headers[0] and "DEK-Info" in headers[0]:
+        return data is not None and len(data) >= 64 and len(data) % 8 == 0
+    return is_private_key(data)
+
+
+def openssh_length(run: str, at: int, end: int, url_safe: bool) -> int:
+    """Bytes of the OpenSSH container that starts at ``at``, by its length fields; 0 if they do not stay inside ``run[at:end]`` or ``KEY_BYTES``."""
+    there = min((end - at) * 3 // 4, KEY_BYTES)
+    place = len(OPENSSH)
+
+    def number() -> int | None:
+        nonlocal place
+        if place + 4 > there:
+            return None
+        first = place // 3
+        some = decoded(run[at + first * 4 : at + (place + 6) // 3 * 4], url_safe)
+        place += 4
+        return None if some is None else int.from_bytes(some[place - 4 - first * 3 : place - first * 3], "big")
+
+    def skip() -> bool:
+        nonlocal place
+        n = number()
+        if n is None or place + n > there:
+            return False
+        place += n
+        return True
+
+    if not (skip() and skip() and skip()):
+        return 0
+    count = number()
+    return place if count is not None and 1 <= count <= 16 and all(skip() for _ in range(count + 1)) else 0
+
+
+def openssh_fields(run: str, end: int) -> bool:
+    """Whether the container's cipher, key derivation and options stand at its start and a possible number of keys follows."""
+    data, at = decoded(run[: min(end, 512) // 4 * 4]) or b"", len(OPENSSH)
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
+
+
+def wrapped_lines(text: str, start: int, need: int) -> list[tuple[str, int]]:
+    """Lines of base64 from ``start`` on, each with its end, until they have ``need`` characters."""
+    parts, at, got = [], start, 0
+    while got < need and (m := LINE.match(text, at)):
+        parts.append((m[0], m.end()))
+        got += len(m[0])
+        more = BREAK.match(text, m.end())
+        if not more or m[0].endswith("="):
+            break
+        at = more.end()
+    return parts
+
+
+def wrapped_key(text: str, start: int) -> int | None:
+    """The end of a key whose base64 starts here and goes on over several lines."""
+    head = decoded(text[start : start + 16]) or b""
+    ssh = text.startswith("b3BlbnNzaC1rZXktdjEA", start)
+    size = KEY_BYTES if ssh else der_length(head)
+    if ssh and (first := wrapped_lines(text, start, 256)) and not openssh_fields(few := "".join(line for line, _ in first), len(few.rstrip("="))):
+        return None
+    body = head[2 + (head[1] & 0x7F if head[1] & 0x80 else 0) :] if len(head) > 6 else b""
+    if not ssh and (head[:1] != b"\x30" or body[:2] != b"\x02\x01" and body[:1] != b"\x30") or not 32 <= size <= KEY_BYTES:
+        return None
+    parts = wrapped_lines(text, start, -(-size // 3) * 4)
+    if ssh:
+        run = "".join(line for line, _ in parts)
+        size = openssh_length(run, 0, len(run.rstrip("=")), False)
+        parts = wrapped_lines(text, start, -(-size * 4 // 3))  # the container says how long it is; lines beyond are not part of it
+    run = "".join(line for line, _ in parts)
+    whole = len(parts) > 1 and size and len(run.rstrip("=")) == -(-size * 4 // 3)
+    return parts[-1][1] if whole and is_private_key(decoded(run)) else None
+
+
 def der_length(data: bytes) -> int:
     """Bytes of the DER item whose first bytes are ``data``, by its header."""
     if len(data) < 2 or not data[1] & 0x80:
@@ -141,10 +231,12 @@ def key_within(run: str) -> tuple[int, int] | None:
                 return at, plain
         else:
             url_safe = last_safe >= at
-            if run[at] == "M" and -(-der_length(decoded(run[at : at + 8], url_safe) or b"") * 4 // 3) != n:
+            if run[at] == "M":
+                if -(-der_length(decoded(run[at : at + 8], url_safe) or b"") * 4 // 3) != n or not is_private_key(decoded(run[at:], url_safe)):
+                    continue
+            elif not (size := openssh_length(run, at, plain, url_safe)) or not is_private_key(decoded(run[at : at + -(-size * 4 // 3)], url_safe)):
                 continue
-            if is_private_key(decoded(run[at:], url_safe)):
-                return at, len(run)
+            return at, len(run)
     return None
 
 
@@ -160,11 +252,25 @@ def is_json_object(part: str) -> dict | None:
 def confirmed_spans(text: str) -> list[Span]:
     spans: list[Span] = []
     if "PRIVATE KEY-----" in text:
-        spans += [("pem", m.start(), m.end()) for m in PEM.finditer(text) if is_private_key(decoded(m[2]))]
+        edges = list(PEM_EDGE.finditer(text))
+        for first, last in zip(edges, edges[1:], strict=False):
+            if (first[1], last[1]) == ("BEGIN", "END") and first[2] == last[2] and is_pem_body(text[first.end() : last.start()]):
+                spans.append(("pem", first.start(), last.end()))
+    blocks, used = iter([(a, b) for _, a, b in spans] + [(len(text) + 1,) * 2]), 0
+    block = next(blocks)
     for m in ENCODED.finditer(text):
-        found = key_within(m[0])
+        while block[1] <= m.start():
+            block = next(blocks)
+        start = m.start() + (text[max(0, m.start() - 1)] == "\\" and m[0][0] in "nrt")  # the letter of an escape is no part of a run
+        if start < used or block[0] <= start:
+            continue
+        run = text[start : m.end()]
+        found = key_within(run)
         if found:
-            spans.append(("key", m.start() + found[0], m.start() + found[1]))
+            spans.append(("key", start + found[0], start + found[1]))
+        elif run.startswith(("M", "b3BlbnNzaC1rZXktdjEA")) and BREAK.match(text, m.end()) and (end := wrapped_key(text, start)):
+            spans.append(("key", start, end))
+            used = end
     if "eyJ" in text:
         for m in TOKEN.finditer(text):
             header = is_json_object(m[1])
