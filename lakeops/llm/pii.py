@@ -2,7 +2,8 @@
 
 One Aho-Corasick pass finds the anchors: at-signs, ``://``, plus signs, digits and identifier cues such as ``IBAN``.  At each anchor a
 deterministic parser expands to the boundaries and validates: an address left and right of the at-sign, a dotted quad with parts
-up to 255, a card number by its check digit, a phone number by its digits, user data in a URL, an IBAN modulo 97, a cued social security or account number.
+up to 255, a card number by its check digit, a phone number by its digits, user data in a URL, an IBAN by its country's length and modulo 97, a cued social security or
+account number.  Cues count in any case, and words such as ``number`` or ``is`` may follow them.
 Of each kind, matches run from left to right without overlap; a failing match is dropped and what it covered is not tried again.
 
 Positions count code points, ends are exclusive.  A null text is empty.  Long texts are scanned whole, in linear time.
@@ -22,8 +23,16 @@ from lakeops.llm.rows import with_function
 
 Span = tuple[str, int, int]
 KINDS = ("email", "ip", "card", "phone", "userinfo", "iban", "ssn", "account")
-CUES = {"iban": ("iban", "IBAN", "Iban"), "ssn": ("ssn", "SSN", "social security"), "account": ("account", "Account", "acct", "Acct", "ACCOUNT")}
-
+CUES = {"iban": ("iban",), "ssn": ("ssn", "social security", "social-security", "social insurance"), "account": ("account", "acct", "a/c")}  # lower case
+# Characters of an IBAN by country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BI=27, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DJ=27, DK=18, DO=28, EE=20, EG=29, ES=24, FI=18,
+    FK=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HN=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20,
+    LU=20, LV=21, LY=25, MC=27, MD=24, ME=22, MK=19, MN=20, MR=27, MT=31, MU=30, NI=28, NL=18, NO=15, OM=23, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, RU=33, SA=24,
+    SC=31, SD=18, SE=24, SI=19, SK=24, SM=27, SO=23, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20, YE=30,
+)
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 DIGITS = frozenset("0123456789")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -32,8 +41,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SCHEME = frozenset(string.ascii_letters + string.digits + "+.-")
 USERINFO = re.compile(r"[^\s/?#@:]+:[^\s/?#@]+@[^\s/?#]+")
-AFTER_CUE = r"(?:\s?(?:no|nr|number|num|code|id)\b)?\.?\s{0,3}[:=#]?\s{0,3}"
-IBAN = re.compile(AFTER_CUE + r"([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])", re.I)
+AFTER_CUE = r"(?:[\s.:#-]{0,2}\b(?:no|nr|number|numbers|num|code|id|is|was)\b){0,3}\.?\s{0,3}[:=#]?\s{0,3}"
+IBAN = re.compile(AFTER_CUE + r"(([A-Z]{2})[0-9]{2}(?:\x20?[A-Z0-9])+)", re.I | re.A)
+ALPHANUMERIC = frozenset(string.ascii_letters + string.digits)
 SSN = re.compile(AFTER_CUE + r"([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])", re.I)
 ACCOUNT = re.compile(AFTER_CUE + r"([0-9](?:[\x20-]?[0-9]){6,16})(?![0-9-])", re.I)
 
@@ -114,7 +124,15 @@ class Expander:
             self._take(kind, m.start(1), m.end(1), holds(m[1]))
 
     def iban(self, _: int, end: int) -> None:
-        self._cued("iban", IBAN, end, iban_holds)
+        """As many characters as the country has; words may follow, separated from it."""
+        if end < self.ends["iban"] or not (m := IBAN.match(self.text, end)):
+            return
+        start, at, left = m.start(1), m.start(1), IBAN_LENGTHS.get(m[2].upper(), 0)
+        while left and at < m.end():
+            left -= self.text[at] != " "
+            at += 1
+        whole = not left and self.text[at : at + 1] not in ALPHANUMERIC
+        self._take("iban", start, at if at > start else m.end(), whole and iban_holds(self.text[start:at]))
 
     def ssn(self, _: int, end: int) -> None:
         self._cued("ssn", SSN, end, lambda x: x[:3] not in ("000", "666") and x[0] != "9" and x[4:6] != "00" and x[7:] != "0000")
@@ -133,7 +151,10 @@ def scanner() -> Callable[[str], tuple]:
 
     def scan(text: str) -> tuple:
         found = Expander(text)
-        for last, (kind, length) in anchors.iter(text):
+        low = text.lower()
+        if len(low) != len(text):  # a letter that two lower-case ones stand for
+            low = text.translate(LOWER)
+        for last, (kind, length) in anchors.iter(low):
             getattr(found, kind)(last + 1 - length, last + 1)
         count = lambda kind: sum(s[0] == kind for s in found.spans)
         base = [s for s in found.spans if s[0] in KINDS[:4]]
