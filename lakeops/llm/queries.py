@@ -158,7 +158,7 @@ FROM ruled
 ORACLE["op9_warc_capture_index"] = rf"""
 WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
 firsts AS (SELECT *, CASE WHEN bytes >= {warc.LEAST} THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM payloads)
-SELECT page_id, bytes AS payload_bytes, digest AS payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-    CASE WHEN first <> page_id THEN first END AS refers_to
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest, CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM firsts
 """

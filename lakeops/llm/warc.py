@@ -12,7 +12,8 @@ Reading.  A key finds its index file by binary search among the first keys, its
 in the decompressed block; then only the record's bytes are read.  Keys are dealt to tasks by index file.
 
 A file gets a name of its own in every attempt, and only files named in a finished task's rows are ever read, so lost executors leave unused files and nothing else.
-Null page: empty payload.  Null URL: an empty key.  Null ids are not supported (a record must be named).  Repeated ids are read back each.
+Null page: empty payload.  Null URL: an empty key.  Null ids: the record gets a generated id and comes back with a null one; it never is the response that others refer to, and
+if no page with its payload has an id, each is a response.  Repeated ids are read back each.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ BLOCK = 256
 ARCHIVE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 INDEX_ROWS = 50_000  # captures of an index file, about
+READ_ROWS = 8192  # captures that a task reads, about
 BROADCAST_DIGESTS = 100_000  # repeated payloads of which a broadcast side may have so many
 
 
@@ -60,12 +62,12 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
 # Records
 
 
-def record_bytes(kind: str, url: str | None, record_id: int, payload: bytes, refers_to: int | None) -> bytes:
+def record_bytes(kind: str, url: str | None, record_id: int | None, payload: bytes, refers_to: int | None) -> bytes:
     digest = hashlib.sha256(payload).hexdigest()
     headers = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{record_id}>",
+        f"WARC-Record-ID: <urn:{f'uuid:{uuid.uuid4()}' if record_id is None else f'page:{record_id}'}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {json.dumps(url or '')[1:-1]}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -90,11 +92,12 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:length]
 
 
-def number_in(urn: str) -> int:
-    return int(urn.rsplit(":", 1)[1].rstrip(">"))
+def number_in(urn: str) -> int | None:
+    """The page's id; None of a record with a generated id."""
+    return int(urn.rsplit(":", 1)[1].rstrip(">")) if urn.startswith("<urn:page:") else None
 
 
-def read_record(member: bytes) -> tuple[int, int, str, str, int | None]:
+def read_record(member: bytes) -> tuple[int | None, int, str, str, int | None]:
     """Id, payload length and digest, type and referred id of a compressed record, whose payload is checked."""
     headers, payload = parse_record(gzip.decompress(member))
     size, digest = int(headers["WARC-Payload-Length"]), headers["WARC-Payload-Digest"].removeprefix("sha256:")
@@ -105,7 +108,7 @@ def read_record(member: bytes) -> tuple[int, int, str, str, int | None]:
 
 
 def typed(pages: DataFrame) -> DataFrame:
-    """(id, url, html, refers_to) of (id, url, html): refers_to is null for responses.
+    """(id, url, html, refers_to) of (id, url, html): refers_to is null for responses, else the smallest known id with that payload.  Pages without an id refer like others.
 
     Only the first page of each payload that occurs more than once is joined back, by the digest; pages with other payloads find no partner.
     """
@@ -115,9 +118,10 @@ def typed(pages: DataFrame) -> DataFrame:
     repeated = stored(first.filter("copies > 1").select(F.col("digest").alias("d"), "first"))
     repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_DIGESTS else repeated
     joined = marked.join(repeated, F.col("digest") == F.col("d"), "left")
-    return joined.select("id", "url", "html", F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"))
+    return joined.select("id", "url", "html", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("refers_to"))
 
 
+NO_ID = "\x00"  # before the key of a capture without a page id
 ENTRY = "key string, id long, archive string, offset long, length long"
 
 
@@ -140,7 +144,10 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
                     kind = "response" if row["refers_to"] is None else "revisit"
                     data = gzip.compress(record_bytes(kind, row["url"], row["id"], payload, row["refers_to"]), 6, mtime=0)
                     stream.write(data)
-                    rows.append((url_key(row["url"]), row["id"], name, at, len(data)))
+                    key, number = url_key(row["url"]), row["id"]
+                    if number is None:  # the capture is found by its place
+                        key, number = f"{NO_ID}{key}", int.from_bytes(hashlib.sha256(f"{name}:{at}".encode()).digest()[:7], "big")
+                    rows.append((key, number, name, at, len(data)))
                     at += len(data)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ENTRY_TYPES, strict=True)], ENTRY_NAMES)
         if stream is not None:
@@ -269,7 +276,8 @@ def look_up(keys: DataFrame, level: DataFrame, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [f.split()[0] for f in READ.split(", ")])
 
     placed = keys.distinct().select(*order).mapInArrow(which, "key string, id long, file long")
-    dealt = placed.repartitionByRange(max(1, len(files)), "file", *order).sortWithinPartitions("file", *order)
+    tasks = max(1, len(files), -(-keys.count() // READ_ROWS))  # several tasks may read one index file, each its own blocks
+    dealt = placed.repartitionByRange(tasks, "file", *order).sortWithinPartitions("file", *order)
     return dealt.mapInArrow(read, READ)
 
 
