@@ -343,6 +343,31 @@ def test_archives_come_back(spark, tmp_path):
     assert sorted(map(tuple, warc.look_up(wanted, level, f"file://{tmp_path}").collect())) == expected[:1200:50] + expected[1200::50]
 
 
+def test_pages_without_an_id_come_back(spark):
+    """Also among equal payloads: the smallest known id is the response, without one all are; as the query's SQL says."""
+    shared, lonely = "<p>" + "x" * 200, "<p>" + "y" * 200
+    pages = [(None, "http://a.org/", shared), (7, "http://a.org/", shared), (9, "http://a.org/", shared), (None, "http://a.org/", shared), (None, None, lonely), (None, "u", lonely),
+             (None, "http://a.org/", None), (None, "http://a.org/", "short"), (-3, "http://a.org/", "short"), (None, "http://b.org/", "z" * 300)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = warc.archive_and_read(df).toArrow()
+    connection = duckdb_on("/root/testdata/sf0.001")
+    connection.execute("CREATE OR REPLACE TABLE small AS SELECT * FROM (VALUES " + ", ".join(f"({'NULL' if i is None else i}::BIGINT, {'NULL' if h is None else repr(h)}::VARCHAR)" for i, _, h in pages) + ") t(page_id, html)")
+    sql = queries.ORACLE["op9_warc_capture_index"].replace("FROM pages", "FROM small")
+    assert differences(got, connection.execute(sql).to_arrow_table()) is None
+    kinds = Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got.to_pylist())
+    assert kinds[None, "revisit", 7] == 2 and kinds[7, "response", None] == 1 and kinds[None, "response", None] == 5
+
+
+def test_one_index_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ_ROWS", 50)
+    pages = spark.range(400).select(F.col("id"), F.concat(F.lit("http://a.org/"), F.col("id") % 7).alias("url"), F.concat(F.lit("p"), F.col("id")).alias("html"))
+    captures = warc.write_archives(warc.typed(pages), f"file://{tmp_path}")
+    level = warc.write_index(captures, f"file://{tmp_path}")
+    read = warc.look_up(captures.select("key", "id"), level, f"file://{tmp_path}")
+    assert level.count() == 1 and sorted(r["page_id"] for r in read.collect()) == list(range(400))
+    assert "RepartitionByExpression" in read._jdf.queryExecution().analyzed().toString() and ", 8" in read._jdf.queryExecution().analyzed().toString()
+
+
 def test_url_keys_reverse_the_host():
     assert warc.url_key("https://Blog.Example.org/a?b") == "org,example,blog)/a?b"
     assert warc.url_key(None) == warc.url_key("") == ""
