@@ -35,6 +35,11 @@ class Mark:
         return point - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)) if lookback_hours > 0 else point
 
 
+def newest(rows: DataFrame, contract: Table) -> DataFrame:
+    """The largest mark of some rows of a table, as one row."""
+    return rows.agg(F.max(contract.mark).alias("mark"))
+
+
 def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table, but_load: str | None = None) -> Mark | None:
     """Largest mark of the stored table, without the rows of the load ``but_load``; None when there are no rows.
 
@@ -51,7 +56,7 @@ def high_water_mark(spark: SparkSession, warehouse: str, table: str | Table, but
         rows = tables.scan_date(spark, warehouse, contract, date)
         if but_load is not None:
             rows = rows.where(F.col("load_id") != but_load)
-        top = rows.select(F.max(contract.mark).cast("string")).first()[0]
+        top = newest(rows, contract).select(F.col("mark").cast("string")).first()[0]
         if top is not None:
             return Mark(top, contract.schema[contract.mark].dataType.simpleString())
     return None

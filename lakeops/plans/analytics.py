@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lakeops.functions.calendar import calendar_parts
 from lakeops.functions.ids import region_of
+from lakeops.operators.asof import as_of, last_of_day
 from lakeops.operators.joins import with_dimension
 
 
@@ -41,16 +42,25 @@ def order_anomalies(fact_orders: DataFrame, deviations: float = 3.0) -> DataFram
     decimal sums (``n * sum of squares - square of the sum``, no cancellation), so totals of billions keep all digits and the
     result does not depend on the order in which rows arrive.
     """
+    return _off_the_mean(fact_orders, Window.partitionBy("product_id"), 2, deviations)
+
+
+def trailing_anomalies(fact_orders: DataFrame, days: int = 28, least: int = 7, deviations: float = 3.0) -> DataFrame:
+    """The same, but each day is judged by the ``days`` calendar days before it alone, of which ``least`` must have orders: what was known when it came."""
+    date = F.unix_date("event_date")
+    return _off_the_mean(fact_orders.where(F.col("event_date").isNotNull()), Window.partitionBy("product_id").orderBy(date).rangeBetween(-days, -1), max(2, least), deviations)
+
+
+def _off_the_mean(fact_orders: DataFrame, judged_by: WindowSpec, least: int, deviations: float) -> DataFrame:
     daily = fact_orders.groupBy("product_id", "event_date").agg(F.sum("qty").alias("qty"))
-    product = Window.partitionBy("product_id")
     exact = F.col("qty").cast("decimal(19,0)")
     whole = lambda c: c.cast("decimal(38,0)")
     summed = daily.select(
         "*",
-        F.count("*").over(product).alias("n"),
-        whole(F.sum(exact).over(product)).alias("s"),
-        whole(F.sum(whole(exact * exact)).over(product)).alias("ss"),
-    ).where(F.col("n") > 1)
+        F.count("*").over(judged_by).alias("n"),
+        whole(F.sum(exact).over(judged_by)).alias("s"),
+        whole(F.sum(whole(exact * exact)).over(judged_by)).alias("ss"),
+    ).where(F.col("n") >= least)
     mean = F.col("s").cast("double") / F.col("n").cast("double")
     spread = whole(F.col("n").cast("decimal(19,0)") * F.col("ss")) - whole(F.col("s") * F.col("s"))
     variance = spread.cast("double") / (F.col("n") * (F.col("n") - 1)).cast("double")
@@ -79,3 +89,12 @@ def order_features(fact_orders: DataFrame, current_products: DataFrame, current_
         F.coalesce("listed_region", region_of(F.col("warehouse_id"))).alias("region"),
         "capacity",
     )
+
+
+def features_as_known(fact_orders: DataFrame, stockout_risks: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Training rows without a look ahead: each order with the newest risk and forecast of its product that were there before its day."""
+    risks = last_of_day(stockout_risks, "product_id", "event_date", ["risk_score", "confidence"], ["event_ts", "event_id"])
+    demand = last_of_day(forecasts, "product_id", "event_date", ["forecast_qty"], ["event_ts", "event_id"])
+    orders = fact_orders.select("event_id", "order_id", "product_id", "warehouse_id", "qty", "event_date")
+    known = as_of(orders, risks, "product_id", "event_date", ["risk_score", "confidence"]).withColumnRenamed("known_since", "risk_since")
+    return as_of(known, demand, "product_id", "event_date", ["forecast_qty"]).withColumnRenamed("known_since", "forecast_since")

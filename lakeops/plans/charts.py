@@ -17,10 +17,14 @@ class Chart:
     metrics: tuple[tuple[str, str], ...]
     group_by: tuple[str, ...] = ()
     time_column: str | None = None
+    grain: str | None = None  # of the time column: day, week, month, quarter or year; None takes its values as they are
     descending: bool = True
     row_limit: int | None = None
 
 
+GRAINS = ("day", "week", "month", "quarter", "year")
+
+
 def _limited(df: DataFrame, row_limit: int | None) -> DataFrame:
     return df if row_limit is None else df.limit(row_limit)
 
@@ -33,6 +37,10 @@ def chart_query(df: DataFrame, chart: Chart) -> DataFrame:
     keys = [*([chart.time_column] if chart.time_column else []), *chart.group_by]
     if not keys:
         raise ValueError("a chart needs group columns or a time column")
+    if chart.grain and chart.grain not in GRAINS:
+        raise ValueError(f"unknown grain {chart.grain!r}")
+    if chart.time_column and chart.grain:
+        df = df.withColumn(chart.time_column, F.trunc(chart.time_column, chart.grain) if chart.grain != "day" else F.col(chart.time_column).cast("date"))
     metrics = [F.expr(sql).alias(name) for name, sql in chart.metrics]
     grouped = df.groupBy(*keys).agg(*metrics)
     if chart.time_column:

@@ -36,15 +36,35 @@ def moving_average(history: DataFrame, window_days: int = WINDOW_DAYS) -> DataFr
     )
 
 
+def dense_history(history: DataFrame, through: Column) -> DataFrame:
+    """The history with a row of 0 for each day without orders, from a product's first day to ``through``.
+
+    Each row fills the gap up to the next one itself, so there is no join with a calendar, and a product has rows for its own days only.
+    """
+    by_day = Window.partitionBy("product_id", "region").orderBy("event_date")
+    until = F.greatest(F.date_sub(F.coalesce(F.lead("event_date").over(by_day), F.date_add(through, 1)), 1), F.col("event_date"))
+    filled = history.where(F.col("event_date").isNotNull()).withColumn("until", until).withColumn("day", F.explode(F.sequence("event_date", "until")))
+    qty = F.when(F.col("day") == F.col("event_date"), F.col("qty")).otherwise(F.lit(0))
+    return filled.select("product_id", "region", F.col("day").alias("event_date"), qty.alias("qty"))
+
+
 def demand_forecast(
-    fact_orders: DataFrame, run_ts: str, window_days: int = WINDOW_DAYS, by_region: bool = False
+    fact_orders: DataFrame, run_ts: str, window_days: int = WINDOW_DAYS, by_region: bool = False, calendar: bool = False
 ) -> DataFrame:
     """Rows for ``ml_insights.raw_demand_forecast``; the quantity is the mean rounded half to even.
 
-    Ids and times come from the arguments, so a repeated run writes the same rows.
+    The mean is that of a product's last days with orders, or with ``calendar`` that of the last days up to the newest order of all, on which a day
+    without orders counts as 0.  Ids and times come from the arguments, so a repeated run writes the same rows.
     """
     now = _run_time(run_ts)
-    averages = moving_average(demand_history(fact_orders, by_region), window_days)
+    history = demand_history(fact_orders, by_region)
+    if calendar:
+        newest = F.lit(fact_orders.agg(F.max("event_date").alias("d")).first()["d"]).cast("date")  # one row
+        first = F.date_sub(newest, window_days - 1)
+        recent = history.where(F.col("event_date") >= first)  # a product without recent orders keeps its last day, to be filled from there
+        last = history.where(F.col("event_date") < first).groupBy("product_id", "region").agg(F.max("event_date").alias("event_date"), F.lit(0).cast("bigint").alias("qty"))
+        history = dense_history(recent.unionByName(last.select(*recent.columns)), newest).where(F.col("event_date") >= first)
+    averages = moving_average(history, window_days)
     return averages.select(
         derived_id(F.lit("forecast_demand"), F.lit(run_ts), F.col("product_id"), F.col("region")).alias("event_id"),
         now.alias("event_ts"),

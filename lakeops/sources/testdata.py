@@ -45,6 +45,7 @@ def _prefixed(prefix: str, key: str) -> str:
     return f"concat('{prefix}-', cast({key} as string))"
 
 
+# Fixed values below: event types, reason, status, error and region codes of the feeds.
 RAW: dict[str, Derived] = {
     "raw_orders": Derived(
         "orders",

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from lakeops.contracts import FEEDS, TABLES, Table, columns
-from lakeops.operators import dedupe, joins, views
-from lakeops.plans import current_state, forecast, stored_marts
+from lakeops.operators import dedupe, joins, rules, views
+from lakeops.plans import analytics, charts, current_state, forecast, stored_marts
 from lakeops.sources import merging, tables
 from lakeops.streaming import drain, late, requeue
 from pyspark.sql import DataFrame
@@ -190,4 +191,102 @@ def merged_small_loads(t: Tables) -> DataFrame:
     return tables.scan(t.spark, warehouse, "logistics_core.fact_vehicle_routes")
 
 
+# Rules, sketches and analytics that know no future.
+_RULES = [
+    rules.Rule("fact_orders", "required", "order_id"),
+    rules.Rule("fact_orders", "required", "product_id"),
+    rules.Rule("fact_orders", "unique", "event_id"),
+    rules.Rule("fact_orders", "reference", "product_id", "dim_product.product_id"),
+    rules.Rule("fact_inventory_movements", "unique", "event_id"),
+    rules.Rule("fact_inventory_movements", "reference", "product_id", "dim_product.product_id"),
+    rules.Rule("fact_returns", "required", "reason_code"),
+    rules.Rule("fact_returns", "reference", "order_id", "fact_orders.order_id"),
+    rules.Rule("fact_order_errors", "reference", "order_id", "fact_orders.order_id"),
+    rules.Rule("fact_order_errors", "required", "details"),
+]
+
+
+def _rule_sql(rule: rules.Rule) -> str:
+    table, column = rule.table, rule.column
+    if rule.kind == "required":
+        counts = f"COUNT(*) AS checked, COUNT(*) FILTER (WHERE {column} IS NULL OR CAST({column} AS VARCHAR) = '') AS failed FROM {table}"
+    elif rule.kind == "unique":
+        counts = f"COUNT({column}) AS checked, COUNT({column}) - COUNT(DISTINCT {column}) AS failed FROM {table}"
+    else:
+        other, key = rule.other.split(".")
+        counts = f"COUNT({column}) AS checked, COUNT(*) FILTER (WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {other})) AS failed FROM {table}"
+    return f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, {counts}"
+
+
+@query("table_rules", f"SELECT *, CASE WHEN failed = 0 THEN 'ok' ELSE 'bad' END AS status FROM ({' UNION ALL '.join(map(_rule_sql, _RULES))}) r")
+def table_rules(t: Tables) -> DataFrame:
+    names = {name for r in _RULES for name in (r.table, (r.other or r.table).split(".")[0])}
+    return rules.report({name: t.curated(name) for name in names}, _RULES)
+
+
+@query(
+    "distinct_values_by_sketch",
+    "SELECT column_name, exact_values, TRUE AS within_error FROM (SELECT 'product_id' AS column_name, COUNT(DISTINCT product_id) AS exact_values FROM fact_orders "
+    "UNION ALL SELECT 'warehouse_id', COUNT(DISTINCT warehouse_id) FROM fact_orders UNION ALL SELECT 'order_id', COUNT(DISTINCT order_id) FROM fact_orders) d",
+)
+def distinct_values_by_sketch(t: Tables) -> DataFrame:
+    """Sketches of each date, merged over all dates, against exact counts."""
+    orders, columns = t.curated("fact_orders"), ["product_id", "warehouse_id", "order_id"]
+    estimates = rules.distinct_estimates(rules.distinct_sketches(orders, columns))
+    exact = reduce(DataFrame.unionByName, [orders.agg(F.count_distinct(c).alias("exact_values")).select(F.lit(c).alias("column_name"), "exact_values") for c in columns])
+    off = F.abs(F.col("distinct_values") - F.col("exact_values")) <= rules.SKETCH_ERROR * F.col("exact_values") + 1
+    return exact.join(estimates, "column_name").select("column_name", "exact_values", off.alias("within_error"))
+
+
+@query(
+    "features_as_known",
+    "WITH risks AS (SELECT product_id, event_date, risk_score, confidence FROM (SELECT *, row_number() OVER (PARTITION BY product_id, event_date "
+    "ORDER BY event_ts DESC, event_id DESC) AS pick FROM raw_stockout_risk) WHERE pick = 1), "
+    "demand AS (SELECT product_id, event_date, forecast_qty FROM (SELECT *, row_number() OVER (PARTITION BY product_id, event_date "
+    "ORDER BY event_ts DESC, event_id DESC) AS pick FROM raw_demand_forecast) WHERE pick = 1) "
+    "SELECT o.event_id, o.order_id, o.product_id, o.warehouse_id, o.qty, o.event_date, r.risk_score, r.confidence, r.event_date AS risk_since, "
+    "d.forecast_qty, d.event_date AS forecast_since FROM fact_orders o "
+    "ASOF LEFT JOIN risks r ON o.product_id = r.product_id AND o.event_date > r.event_date "
+    "ASOF LEFT JOIN demand d ON o.product_id = d.product_id AND o.event_date > d.event_date",
+)
+def features_as_known(t: Tables) -> DataFrame:
+    return analytics.features_as_known(t.curated("fact_orders"), t.raw("raw_stockout_risk"), t.raw("raw_demand_forecast"))
+
+
+@query(
+    "trailing_anomalies",
+    "WITH daily AS (SELECT product_id, event_date, CAST(SUM(qty) AS BIGINT) AS qty FROM fact_orders GROUP BY product_id, event_date), "
+    "sums AS (SELECT *, COUNT(*) OVER w AS n, CAST(SUM(qty) OVER w AS HUGEINT) AS s, CAST(SUM(CAST(qty AS HUGEINT) * qty) OVER w AS HUGEINT) AS ss FROM daily "
+    "WINDOW w AS (PARTITION BY product_id ORDER BY event_date RANGE BETWEEN INTERVAL 56 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)), "
+    "measured AS (SELECT product_id, event_date, qty, CAST(s AS DOUBLE) / CAST(n AS DOUBLE) AS mean_qty, "
+    "sqrt(CAST(n * ss - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) AS sd_qty FROM sums WHERE n >= 5) "
+    "SELECT * FROM measured WHERE sd_qty > 0 AND abs(CAST(qty AS DOUBLE) - mean_qty) > CAST(2 AS DOUBLE) * sd_qty",
+)
+def trailing_anomalies(t: Tables) -> DataFrame:
+    """Each day against the eight weeks before it."""
+    return analytics.trailing_anomalies(t.curated("fact_orders"), days=56, least=5, deviations=2.0)
+
+
+@query(
+    "demand_forecast_calendar",
+    "WITH newest AS (SELECT MAX(event_date) AS day FROM fact_orders), "
+    "averages AS (SELECT product_id, CAST(COALESCE(SUM(qty) FILTER (WHERE event_date > day - 28), 0) AS DOUBLE) / least(28, day - MIN(event_date) + 1) AS mean_qty "
+    "FROM fact_orders, newest GROUP BY product_id, day) "
+    f"SELECT sha256(concat('forecast_demand|{RUN_TS}|', product_id, '|global')) AS event_id, TIMESTAMP '{RUN_TS}' AS event_ts, "
+    f"'forecast_demand' AS event_type, product_id, 'global' AS region, TIMESTAMP '{RUN_TS}' AS forecast_ts, "
+    f"CAST(round_even(mean_qty, 0) AS BIGINT) AS forecast_qty, DATE '{RUN_TS[:10]}' AS event_date FROM averages",
+)
+def demand_forecast_calendar(t: Tables) -> DataFrame:
+    """The mean of the last 28 calendar days; days without orders count."""
+    return forecast.demand_forecast(t.curated("fact_orders"), RUN_TS, window_days=28, calendar=True)
+
+
+@query(
+    "chart_monthly_orders",
+    'SELECT CAST(date_trunc(\'month\', event_date) AS DATE) AS event_date, COUNT(*) AS "count" FROM fact_orders GROUP BY 1 ORDER BY 1',
+)
+def chart_monthly_orders(t: Tables) -> DataFrame:
+    return charts.chart_query(t.curated("fact_orders"), replace(charts.CHARTS["daily_orders"], grain="month"))
+
+
 ORACLE["bootstrapped_forecasts"] = ORACLE["demand_forecast"]

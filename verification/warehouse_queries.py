@@ -6,7 +6,7 @@ from dataclasses import replace
 from functools import reduce
 
 from lakeops.contracts import CHECKED_TABLES, FACTS, TABLES
-from lakeops.operators import checks, joins, views
+from lakeops.operators import checks, incremental, joins, views
 from lakeops.plans import charts, marts
 from lakeops.plans.curate import JOBS
 from pyspark.sql import DataFrame
@@ -66,6 +66,7 @@ def returns_by_warehouse(t: Tables) -> DataFrame:
     return marts.returns_by_warehouse(t.curated("fact_returns"), t.curated("fact_orders"))
 
 
+# Fixed value: the statement behind the mart of returns.
 @query(
     "returns_by_warehouse_mart",
     "SELECT o.warehouse_id, COUNT(*) AS total_returns, MIN(r.event_date) AS event_date FROM fact_returns r "
@@ -268,8 +269,5 @@ def order_count(t: Tables) -> DataFrame:
     ),
 )
 def high_water_marks(t: Tables) -> DataFrame:
-    tops = [
-        t.curated(name.split(".")[1]).select(F.lit(name).alias("table_name"), F.col(TABLES[name].mark).alias("mark"))
-        for name in FACTS
-    ]
-    return reduce(DataFrame.unionByName, tops).groupBy("table_name").agg(F.max("mark").alias("mark"))
+    tops = [incremental.newest(t.curated(name.split(".")[1]), TABLES[name]).select(F.lit(name).alias("table_name"), "mark") for name in FACTS]
+    return reduce(DataFrame.unionByName, tops)
