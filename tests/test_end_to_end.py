@@ -26,7 +26,7 @@ PERIODS = {
 def statement(chart):
     """The SQL that a dashboard sends for a chart over a stored table."""
     keys = ", ".join([*([chart.time_column] if chart.time_column else []), *chart.group_by])
-    metrics = ", ".join(f'{sql} AS "{name}"' for name, sql in chart.metrics)
+    metrics = ", ".join(f"{sql} AS {name}" for name, sql in chart.metrics)
     return f"SELECT {keys}, {metrics} FROM {chart.dataset} GROUP BY {keys}"
 
 
