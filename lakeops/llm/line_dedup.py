@@ -54,8 +54,11 @@ def drop_boilerplate(
     sets = sets.select(F.col("site").alias("__site"), F.col("lines").alias("__lines"))
     joined = docs.join(F.broadcast(sets) if size <= set_bytes else sets, F.col(site).cast("string") == F.col("__site"), "left")
     whole = lines_of(F.col(text).cast("string"))
-    stays = lambda x: ~x.rlike(HAS_WORD) | ~F.array_contains(F.col("__lines"), digest(x))
-    kept = F.when(F.col("__lines").isNull(), whole).otherwise(F.filter(whole, stays))
+    # The page's own lines meet the site's set once, by hashing; then each line is sought among those found.
+    own = F.transform(F.filter(whole, lambda x: x.rlike(HAS_WORD)), digest)
+    joined = joined.withColumn("__hits", F.when(F.col("__lines").isNotNull(), F.array_intersect(own, "__lines")))
+    stays = lambda x: ~x.rlike(HAS_WORD) | ~F.array_contains(F.col("__hits"), digest(x))
+    kept = F.when(F.coalesce(F.size("__hits") <= 0, F.lit(True)), whole).otherwise(F.filter(whole, stays))
     marked = joined.withColumn("__whole", whole).withColumn("__kept", kept)
     is_copy = F.exists("__whole", lambda x: x.rlike(HAS_WORD)) & ~F.exists("__kept", lambda x: x.rlike(HAS_WORD))
     marked = marked.withColumn("__kept", F.when(is_copy, F.col("__whole")).otherwise(F.col("__kept")))
