@@ -9,13 +9,17 @@ Texts become template tokens: words without surrounding punctuation, lower-cased
 Every run of ``WINDOW`` tokens is a window (a text with fewer tokens is one window, which only a text of the same length matches).  A window with fewer than
 ``LITERALS`` literal words says too little as a template and is compared with its literal words.  Windows of documents and benchmark items are joined by
 hash.  Each match lies on a diagonal (position in the document minus position in the item); on one diagonal, equal slot values of the item must stand against equal slot values of the
-document (another number everywhere instead of 5 is a re-parameterised question, two different ones are not), else its matches do not count.  A document
-is contaminated by an item if at least ``SIMILARITY`` of the item's different windows are matched.
+document (another number everywhere instead of 5 is a re-parameterised question, two different ones are not), else the windows that hold such a slot do not count, unless they are equal
+word for word.  A document is contaminated by an item if at least ``SIMILARITY`` of the item's different windows are matched.
+
+Equal items are one.  Whatever matches ``SIMILARITY`` of an item's n windows matches one of any n - ceil(n * ``SIMILARITY``) + 1 of them: documents and items meet by those of the
+item's windows that fewest items share, so a stock opening of many questions makes no pairs; only the pairs found so are compared in full, and equal items are named last.
 
 Only windows that may occur in the benchmark leave the tasks: a bit table of fixed size (``FILTER_BITS``) with the hashes of all benchmark windows, which never misses one,
 goes to every task.  The join itself is exact and of any size; Spark broadcasts the benchmark's side only if it is small.
 
-Null or wordless texts have no windows and are clean, an item without words matches nothing.  Rows with equal ids are judged together; null is an id.  Repeated items are found each.
+Null or wordless texts have no windows and are clean, an item without words matches nothing.  ``contaminated`` judges rows with equal ids together (null is an id), ``verdicts`` each
+row by itself.  Repeated items are found each.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.scratch import stored
@@ -186,34 +190,47 @@ def contaminated(
 ) -> DataFrame:
     """(id, item_id, share): the share of the item's windows found in the document, for all pairs with at least ``similarity``."""
     spark = docs.sparkSession
-    rows = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).cast("string").alias("text"))
-    items = stored(template_windows(rows, "id", "text", size).select(F.col("id").alias("item"), F.col("position").alias("at"), "key", F.col("slots").alias("item_slots")))
-    sizes = items.groupBy("item").agg(F.count_distinct("key").alias("windows"))
-    shared = spark.sparkContext.broadcast(_filter(items, bits))
-    found = template_windows(docs, id, text, size, bits, shared)
-    side = F.broadcast(items) if items.count() <= broadcast_windows else items
-    slots = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
-    matches = found.join(side, "key").select("id", "item", "key", (F.col("position") - F.col("at")).alias("diagonal"), slots.alias("slots"))
-    matches = stored(matches, 1000)
+    rows = benchmark.select(F.xxhash64(item_text).alias("id"), F.col(item_text).cast("string").alias("text")).distinct()
+    windows = stored(template_windows(rows, "id", "text", size).select(F.col("id").alias("group"), F.col("position").alias("at"), "key", F.col("slots").alias("item_slots")))
+    different = windows.groupBy("group", "key").agg(F.lit(1).alias("one")).drop("one")
+    sharing = different.groupBy("key").agg(F.count("*").alias("sharing"))
+    in_group = Window.partitionBy("group")
+    ranked = different.join(sharing, "key").select(
+        "group", "key", F.row_number().over(in_group.orderBy("sharing", "key")).alias("rank"), F.count("*").over(in_group).alias("windows")
+    )
+    ranked = stored(ranked)
+    rarest = ranked.filter(F.col("rank") <= F.col("windows") - F.ceil(F.col("windows") * similarity - 1e-9) + 1).select("key", "group")
+    shared = spark.sparkContext.broadcast(_filter(windows, bits))
+    found = stored(template_windows(docs, id, text, size, bits, shared), 1000)
     shared.destroy()
-    on = ["id", "item", "diagonal"]
-    # A slot value of the item stands against one value of the document on a diagonal, or the diagonal does not count.
+    small = windows.count() <= broadcast_windows
+    side = lambda df: F.broadcast(df) if small else df
+    pairs = found.select("id", "key").distinct().join(side(rarest), "key").select("id", "group").distinct()
+    wanted = pairs.join(side(windows), "group").select(F.col("id").alias("d"), "group", "key", "at", "item_slots")
+    slots = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
+    met = wanted.join(found.withColumnRenamed("key", "found"), (F.col("key") == F.col("found")) & F.col("id").eqNullSafe(F.col("d")))
+    matches = stored(met.select("id", "group", "key", (F.col("position") - F.col("at")).alias("diagonal"), slots.alias("slots")))
+    on = ["id", "group", "diagonal"]
+    # A slot value of the item stands against one value of the document on a diagonal, or the windows that hold it do not count.
     values = matches.filter(F.size("slots") > 0).select(*on, F.explode("slots").alias("slot"))
     values = values.groupBy(*on, "slot.item_slots").agg(F.min("slot.slots").alias("low"), F.max("slot.slots").alias("high"))
-    broken = values.filter("low <> high").select(*[F.col(c).alias(f"b_{c}") for c in on]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in on]
-    good = matches.join(broken, same, "left_anti")
-    counts = good.groupBy("id", "item", "key").agg(F.lit(1).alias("one")).groupBy("id", "item").agg(F.count("*").alias("matched"))
-    sized = counts.join(sizes.withColumnRenamed("item", "i"), F.col("item").eqNullSafe(F.col("i")))
+    broken = values.filter("low <> high").groupBy(*[F.col(c).alias(f"b_{c}") for c in on]).agg(F.collect_list("item_slots").alias("broken"))  # an item's slots at most
+    judged = matches.join(broken, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in on], "left")
+    falls = "broken IS NOT NULL AND exists(slots, s -> array_contains(broken, s.item_slots)) AND NOT forall(slots, s -> s.item_slots = s.slots)"
+    counts = judged.filter(f"NOT ({falls})").groupBy("id", "group", "key").agg(F.lit(1).alias("one")).groupBy("id", "group").agg(F.count("*").alias("matched"))
     share = F.col("matched") / F.col("windows")
-    return sized.filter(share >= similarity).select(F.col("id").alias(id), F.col("item").alias(item_id), share.alias("share"))
+    enough = counts.join(ranked.select("group", "windows").distinct(), "group").filter(share >= similarity).select("id", "group", share.alias("share"))
+    named = benchmark.select(F.xxhash64(item_text).alias("group"), F.col(item_id).alias("item"))
+    return enough.join(named, "group").select(F.col("id").alias(id), F.col("item").alias(item_id), "share")
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, keep: list[str], id: str = "doc_id", text: str = "text", item_id: str = "item_id", **options) -> DataFrame:
     """The columns ``keep`` of every document, ``contaminated`` and ``items`` (sorted distinct ids of the items found; empty for none)."""
-    pairs = stored(contaminated(docs, benchmark, id, text, item_id, **options))
-    found = pairs.groupBy(F.col(id).alias("__id")).agg(F.array_sort(F.collect_set(item_id)).alias("items"))  # at most the benchmark's items
-    joined = docs.select(*keep, F.col(id).alias("__own")).join(found, F.col("__own").eqNullSafe(F.col("__id")), "left")
-    kind = found.schema["items"].dataType.simpleString()
-    items = F.coalesce("items", F.expr(f"CAST(array() AS {kind})"))
-    return joined.select(*keep, F.col("items").isNotNull().alias("contaminated"), items.alias("items"))
+    keyed = docs.select(*[F.col(k).alias(f"__{n}") for n, k in enumerate(keep)], F.xxhash64(id, text).alias("__row"), F.col(text).alias("__text"))
+    pairs = stored(contaminated(keyed, benchmark, "__row", "__text", item_id, **options))
+    found = pairs.groupBy(F.col("__row").alias("__found")).agg(F.array_sort(F.collect_set(item_id)).alias("__items"))  # at most the benchmark's items
+    joined = keyed.join(found, F.col("__row") == F.col("__found"), "left")
+    kind = found.schema["__items"].dataType.simpleString()
+    items = F.coalesce("__items", F.expr(f"CAST(array() AS {kind})"))
+    kept = [F.col(f"__{n}").alias(k) for n, k in enumerate(keep)]
+    return joined.select(*kept, F.col("__items").isNotNull().alias("contaminated"), items.alias("items"))
