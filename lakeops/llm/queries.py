@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,7 +131,13 @@ FROM documents d LEFT JOIN whole w ON d.doc_id = w.doc_id
 GROUP BY d.doc_id, d.source, d.text
 """
 
-ORACLE["op6_url_automaton"] = r"""
+def glob_pattern(glob: str) -> str:
+    """A glob as a regular expression of the SQL engine."""
+    kinds = {"run": "[^/]*", "runs": ".*", "any": "[^/]"}
+    return "".join(kinds.get(t) or re.escape(t).replace("'", "''") for t in url_filter.tokens(glob))
+
+
+ORACLE["op6_url_automaton"] = rf"""
 WITH parts AS (
     SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), hosts AS (
@@ -150,7 +157,7 @@ WITH parts AS (
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
     WHEN rule IS NOT NULL THEN 'block'
-    WHEN regexp_full_match(host || path, '(?s)[^/]*(spam-farm|cheap-pills|casino)[^/]*/.*|[^/]*/.*\.exe|[^/]*/(.*/)wp-login\.php') THEN 'block'
+    WHEN regexp_full_match(host || path, '(?s){"|".join(map(glob_pattern, url_filter.BLOCKING_GLOBS))}') THEN 'block'
     ELSE 'allow' END AS verdict
 FROM ruled
 """

@@ -2,11 +2,14 @@
 
 A glob is made of literal characters, ``?`` (one character but ``/``), ``*`` (any run without ``/``) and ``**`` (any run), and must match the
 whole canonical URL: the lower-cased host followed by the path.  Every glob position is one bit of a multiword mask.  A step of Shift-And moves all
-live positions over the next character of the URL; wildcard runs keep their bit by a second mask, and empty runs are entered by
-an addition whose carries run through consecutive run bits.  Batches of URLs advance together, one character at a time.
+live positions over the next character of the URL; wildcard runs keep their bit by a second mask, and an empty run is entered by one more shift of the bits that stand
+on runs (wildcards side by side are parsed as one, so one shift is enough).  Batches of URLs advance together, one character at a time.
 
 A site rule such as ``example.net/en/`` becomes two globs (the host, and its subdomains).  The longest matching site rule decides; without one a
 URL is blocked if a blocking glob matches, and allowed otherwise.  Null URLs and URLs without ``://`` have an empty host and path.
+
+The blocking globs are a list of any length, by default ``BLOCKING_GLOBS``; ``read_globs`` takes one from a file of lines.  Every task holds the whole automaton, some bytes per
+character of the list.
 """
 
 from __future__ import annotations
@@ -26,8 +29,36 @@ ROWS_AT_ONCE = 2048
 
 # Site rules: (host and path, verdict).
 SITE_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+# What the default globs are formed of: words in hosts, words that are a part of the path, file endings, and parts of hosts.
+HOST_WORDS = (
+    "spam-farm cheap-pills casino viagra cialis payday-loan poker-online free-ringtones replica-watches essay-writing link-farm seo-links hot-singles xxx porn sexcam escort "
+    "torrent warez keygen crackz proxy-list bulk-mail get-rich click-bait"
+).split()
+PATH_PARTS = (
+    "wp-login.php wp-admin xmlrpc.php cgi-bin phpmyadmin login signin signup register logout cart checkout basket wishlist account password-reset unsubscribe calendar ical "
+    "print-view trackback pingback feed rss atom share.php redirect.php out.php click.php ad-click adserver banners popunder sitemap.xml robots.txt"
+).split()
+ENDINGS = (
+    "exe msi dmg iso apk deb rpm jar zip rar 7z gz tgz bz2 xz bin dll torrent swf mp3 mp4 avi mkv mov wmv flac wav ogg webm jpg jpeg png gif bmp svg webp ico tif tiff css js "
+    "woff woff2 ttf eot psd ai eps doc docx xls xlsx ppt pptx csv sql bak log map min.js"
+).split()
+HOST_PARTS = "ads adserver tracker tracking click clicks banner banners pixel beacon affiliate popads".split()
+
+
+def default_globs() -> tuple[str, ...]:
+    """Some two hundred globs: words anywhere in the host, hosts that serve adverts, path parts and file endings."""
+    hosts = [f"*{w}*/**" for w in HOST_WORDS] + [g for p in HOST_PARTS for g in (f"{p}.*/**", f"*.{p}.*/**")]
+    return tuple(hosts + [g for p in PATH_PARTS for g in (f"*/{p}", f"*/**/{p}", f"*/{p}/**", f"*/**/{p}/**")] + [f"*/**.{e}" for e in ENDINGS])
+
+
 # Globs that block a URL no site rule decides.
-BLOCKING_GLOBS = ("*spam-farm*/**", "*cheap-pills*/**", "*/**.exe", "*/**/wp-login.php", "*casino*/**")
+BLOCKING_GLOBS = default_globs()
+
+
+def read_globs(path: str) -> tuple[str, ...]:
+    """One glob a line; empty lines and lines that start with # do not count."""
+    with open(path, encoding="utf-8") as lines:
+        return tuple(x for x in map(str.strip, lines) if x and not x.startswith("#"))
 
 
 @dataclass(frozen=True)
@@ -47,8 +78,8 @@ def site_globs(rules: tuple[tuple[str, str], ...]) -> list[Rule]:
 def tokens(glob: str) -> list[str]:
     """Literal characters as themselves, wildcards as "any", "run", "runs"."""
     out = []
-    for m in re.finditer(r"\\(.)|\*\*|\*|\?|(.)", glob, re.S):
-        out.append(m[1] or m[2] or {"**": "runs", "*": "run", "?": "any"}[m[0]])
+    for m in re.finditer(r"\\(.)|\*+|\?|(.)", glob, re.S):
+        out.append(m[1] or m[2] or ("any" if m[0] == "?" else "run" if m[0] == "*" else "runs"))
     return out
 
 
@@ -101,25 +132,19 @@ class Automaton:
         return out
 
     def _enter(self, live: np.ndarray) -> np.ndarray:
-        """Empty runs: whoever stands on a run also stands behind it (two runs never follow each other more than once after parsing)."""
-        while True:
-            more = live | self._shift(live & self.runs)
-            if np.array_equal(more, live):
-                return live
-            live = more
+        """Empty runs: whoever stands on a run also stands behind it."""
+        return live | self._shift(live & self.runs)
 
     def match(self, texts: list[str]) -> np.ndarray:
         """A Boolean for each text and glob."""
-        order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
-        lengths = np.array([len(texts[k]) for k in order], np.int64)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        order = np.argsort(-lengths, kind="stable")  # longest first: those that still run are the first rows
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        classes, starts, lengths = self._class_of(codes), (np.cumsum(lengths) - lengths)[order], lengths[order]
         live = self._enter(np.tile(self.start, (len(texts), 1)))
-        codes = [np.frombuffer(texts[k].encode("utf-32-le", "surrogatepass"), np.uint32) for k in order]
-        classes = [self._class_of(c) for c in codes]
-        active = len(texts)
         for at in range(int(lengths[0]) if len(lengths) else 0):
-            while active and lengths[active - 1] <= at:
-                active -= 1
-            now = np.fromiter((classes[k][at] for k in range(active)), np.int64, active)
+            active = int(np.searchsorted(-lengths, -at, "left"))
+            now = classes[starts[:active] + at]
             state = live[:active]
             live[:active] = self._enter(self._shift(state & self.step[now]) | (state & self.stay[now]))
         out = np.zeros((len(texts), len(self.final)), bool)
@@ -128,10 +153,10 @@ class Automaton:
         return out
 
     def _class_of(self, codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(codes), np.int64)
-        for c, k in self.classes.items():
-            out[codes == ord(c)] = k
-        return out
+        named = np.array(sorted(map(ord, self.classes)), np.uint32)
+        number = np.array([self.classes[chr(c)] for c in named], np.int64)
+        at = np.minimum(np.searchsorted(named, codes), len(named) - 1)
+        return np.where(named[at] == codes, number[at], 0)
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -161,10 +186,12 @@ def judge_urls(
                 parts = [host_and_path(u) for u in batch.column(batch.num_columns - 1).to_pylist()]
                 matched = automaton.match([h + p for h, p in parts])
                 rule, verdict = [], []
-                for row in matched:
-                    site = next((k for k in by_length if row[of_site[k]].any()), None)
+                blocked = matched[:, others].any(axis=1)
+                sites = np.stack([matched[:, of_site[k]].any(axis=1) for k in by_length], axis=1) if by_length else np.zeros((len(parts), 0), bool)
+                for n, held in enumerate(sites):
+                    site = by_length[int(held.argmax())] if held.any() else None
                     rule.append(None if site is None else rules[site][0])
-                    verdict.append(rules[site][1] if site is not None else "block" if row[others].any() else "allow")
+                    verdict.append(rules[site][1] if site is not None else "block" if blocked[n] else "allow")
                 columns = [pa.array(c, pa.string()) for c in ([h for h, _ in parts], [p for _, p in parts], rule, verdict)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns - 1)), *columns], schema.names)
 
