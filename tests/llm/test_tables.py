@@ -225,11 +225,68 @@ def test_reparameterised_questions(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("items", F.lit("own"))
     benchmark = spark.createDataFrame([(1, question), (2, None), (3, "so it"), (4, question), (5, "")], "item_id long, text string")
     out = sorted(((r["doc_id"], tuple(r["items"])) for r in decontaminate.verdicts(df, benchmark, ["doc_id"]).collect()), key=repr)
-    assert out == sorted([(1, (1, 4)), (1, (1, 4)), (2, ()), (3, ()), (4, ()), (5, ()), (6, ()), (None, (1, 4)), (7, (3,)), (8, ())], key=repr)
+    assert out == sorted([(1, (1, 4)), (1, ()), (2, ()), (3, ()), (4, ()), (5, ()), (6, ()), (None, (1, 4)), (7, (3,)), (8, ())], key=repr)
     assert decontaminate.verdicts(df.limit(0), benchmark, ["doc_id"]).count() == 0
     assert not any(r["contaminated"] for r in decontaminate.verdicts(df, benchmark.limit(0), ["doc_id"]).collect())
 
 
+def plain_contaminated(docs, items):
+    """Pairs by comparing every document with every item, window by window."""
+    numbers, units = (decontaminate._hash_words(w) for w in (decontaminate.NUMBER_WORDS, decontaminate.UNITS))
+
+    def windows(text):
+        _, at, key, slots = decontaminate.Templates(pa.array([text], pa.string()), numbers, units).windows(decontaminate.WINDOW)
+        return list(zip(at.tolist(), key.tolist(), slots.tolist(), strict=True))
+
+    of_item = {i: windows(t) for i, t in items}
+    out = set()
+    for d, text in docs:
+        mine = defaultdict(list)
+        for at, key, slots in windows(text):
+            mine[key].append((at, slots))
+        for i, theirs in of_item.items():
+            matches = [(p - at, key, list(zip(a, b, strict=True))) for at, key, a in theirs for p, b in mine[key]]
+            values = defaultdict(set)
+            for diagonal, _, slots in matches:
+                for a, b in slots:
+                    if a:
+                        values[diagonal, a].add(b)
+            good = {key for diagonal, key, slots in matches if all(a == b for a, b in slots) or all(not a or len(values[diagonal, a]) == 1 for a, b in slots)}
+            if theirs and len(good) >= 0.8 * len({key for _, key, _ in theirs}):
+                out.add((d, i))
+    return out
+
+
+def test_contaminated_pairs_by_brute_force(spark):
+    """Items with a stock opening, re-parameterised, cut and mixed copies of them in documents."""
+    draw = random.Random(4)
+    word = lambda: draw.choice(["apples", "trains", "goes", "then", "with", "over", "km", "Tom", "Anna", "5", "seven", "12", "costs", "left", "when"])
+    opening = "Read the following problem and answer it with one number only please:"
+    items = [(k, f"{opening} " + " ".join(word() for _ in range(draw.randint(3, 40)))) for k in range(60)] + [(100, "5 km"), (101, None), (102, opening)]
+    items.append((103, items[7][1]))
+    docs = []
+    for k in range(300):
+        text = draw.choice(items[:60])[1].split()
+        text = text[draw.choice([0, 0, 3]) : draw.choice([None, None, -4])]
+        swap = {w: draw.choice(["Tom", "Bob", "9", "3", w]) for w in ("Tom", "Anna", "5", "12")}
+        text = [draw.choice(["Eve", "8"]) if w in swap and draw.random() < 0.03 else swap.get(w, w) for w in text]
+        docs.append((k, " ".join([word() for _ in range(draw.randint(0, 30))] + text + [word() for _ in range(draw.randint(0, 30))])))
+    docs += [(400 + k, f"{opening} and more {word()}") for k in range(50)]
+    df, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expected = plain_contaminated(docs, items)
+    for options in ({}, {"broadcast_windows": 0, "bits": 1 << 10}):
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, benchmark, **options).collect()}
+        assert got == expected and 100 < len(expected)
+
+
+def test_one_wrong_slot_drops_only_its_windows(spark):
+    item = "We saw Tom and Anna walk " + " ".join(f"w{chr(97 + k % 26)}" for k in range(40)) + " until 9 passed"
+    docs = [(1, item + "."), (2, item.replace("Anna", "Tom")), (3, item.replace("until 9", "until 7"))]
+    df, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item + " for Tom")], "item_id long, text string")
+    got = {r["doc_id"] for r in decontaminate.contaminated(df, benchmark).collect()}
+    assert got == {1, 2, 3}
+
+
 # SimHash
 
 
