@@ -39,8 +39,10 @@ def _unique(df: DataFrame, column: str) -> DataFrame:
     counts = values.select(key_hash("__v").alias("__h")).groupBy("__h").agg(F.count("*").alias("__n"))
     table = bit_table(counts, twice=F.col("__n") > 1)
     maybe = with_marks(values, key_hash("__v"), table).where("__twice").groupBy("__v").agg(F.count("*").alias("__n"))
-    failed = maybe.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("failed"))
-    return values.agg(F.count("*").alias("checked")).join(F.broadcast(failed))  # one row each
+    zero = F.lit(0).cast("bigint")
+    failed = maybe.agg(zero.alias("checked"), F.coalesce(F.sum(F.col("__n") - 1), zero).alias("failed"))
+    counted = values.agg(F.count("*").alias("checked"), zero.alias("failed"))
+    return counted.unionByName(failed).agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed"))  # one row each
 
 
 def _reference(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
