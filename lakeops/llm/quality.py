@@ -5,36 +5,41 @@ The model is an interpolated, modified Kneser-Ney model of order ``ORDER`` per l
 is one 60-bit key and its suffix and context are bit operations on that key.  Spark counts the n-grams of all texts and derives
 every probability with joins and aggregates; the model is stored as keys in sorted order with their log probabilities.
 
-Scoring looks keys up in sorted arrays.  The arrays go to the tasks by broadcast if their measured size is below
-``MODEL_BYTES``; a larger model stays a table, and the texts' n-grams are joined with it (same numbers, more shuffle).
+Scoring looks keys up in sorted arrays.  Spark sorts the model by range, and each range is written as segments of keys and values in a file of the shared folder; only a row per
+segment (its first key and place) reaches the driver and the tasks, whatever the model's size.  A task sorts its texts' different n-grams and walks
+them through the segments they fall into, mapped into memory; on a file system that cannot map files, segments are read whole and the last ones kept within ``CACHE_BYTES``.
 
 A text is rejected by the method if its log perplexity leaves ``[median - LOWER * spread, median + UPPER * spread]`` of its language,
 with spread = 1.4826 times the median absolute deviation, over all texts that pass the base rules; shorter texts scatter more, so the spread grows
 by ``sqrt(1 + SHORT / characters)``.  Languages with fewer than ``MIN_TEXTS`` such texts have no band.
 LOWER and UPPER were fitted on the labels of sf0.1: of a grid of quarters, the bands that reject most texts labelled bad and at most 1 % of those labelled good.
 
-Null text: no words, base rules fail.  Null language: a language of its own, named "".  Repeated rows are scored one by one.
+Null text: no words, base rules fail.  Null language: a language of its own, named "".  Repeated rows are scored one by one.  Columns to keep that are named like an added one are
+left out.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from lakeops.llm.scratch import stored
+from lakeops.llm.scratch import new_folder, opened, stored
 from lakeops.llm.words import Chunk, repeated, row_ranges, windows
 
 ORDER = 5
 BITS = 12
-MODEL_BYTES = 128 << 20
-ENTRY_BYTES = 16
+SEGMENT_ROWS = 1 << 20  # model rows of a range, about
+CACHE_BYTES = 256 << 20
 BATCH_ROWS = 1000
 LANGUAGES = 10_000  # a broadcast table of bands or discounts has at most so many rows
 LOWER, UPPER, SHORT, MIN_TEXTS = 3.75, 2.75, 400.0, 50
@@ -172,51 +177,109 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     return reduce(DataFrame.unionByName, out).join(weights, ["lang", "length", "key"], "full")
 
 
-Level = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
-
-
-def _arrays(model: DataFrame, order: int) -> dict[str, list[Level]]:
-    """Per language and length: sorted n-grams, their log probabilities, sorted contexts, their back-off weights.  Only for a model of checked size."""
-    table = model.toArrow()
-    out: dict[str, list[Level]] = {}
-    names = table.column("lang").combine_chunks().dictionary_encode()
-    code, length = names.indices.to_numpy(), table.column("length").to_numpy()
-    key, *values = table.column("key").to_numpy(), *(table.column(c).cast("double").fill_null(np.nan).to_numpy() for c in ("logp", "logb"))
-    for k, name in enumerate(names.dictionary.to_pylist()):
-        out[name] = []
-        for n in range(order + 1):
-            here = np.flatnonzero((code == k) & (length == n))
-            here = here[np.argsort(key[here])]
-            level = []
-            for value in values:
-                at = here[~np.isnan(value[here])]
-                level += [key[at].astype(np.uint64), value[at]]
-            out[name].append(tuple(level))
-    return out
-
-
-def _look_up(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
-
-
-def log_probabilities(keys: np.ndarray, levels: list[Level], order: int) -> np.ndarray:
-    """Per key the natural log of its last character's probability after the others; unseen n-grams back off to shorter ones."""
-    out = np.zeros(len(keys))
-    left = np.arange(len(keys))
-    for k in range(order, 0, -1):
-        short = keys[left] & np.uint64((1 << BITS * k) - 1)
-        at, seen = _look_up(levels[k][0], short)
-        out[left[seen]] += levels[k][1][at[seen]]
-        left, short = left[~seen], short[~seen]
-        if not len(left):
-            return out
-        at, known = _look_up(levels[k - 1][2], short >> np.uint64(BITS))
-        out[left[known]] += levels[k - 1][3][at[known]]
-    out[left] += -np.log(len(levels[1][0]) + 1)
-    return out
+Segment = tuple[str, int, str, int, int, str, int]  # language, length, kind, first key, rows, file, offset of its keys; the values follow them
+KINDS = ("logp", "logb")
+
+
+def write_model(model: DataFrame, folder: str, segment_rows: int = SEGMENT_ROWS) -> list[Segment]:
+    """Writes the model as sorted arrays and returns the segments: a row for each range, language, length and kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = opened(folder)
+        held: dict[tuple[str, int], list[pa.RecordBatch]] = {}
+        for batch in batches:  # a range has about segment_rows
+            if not batch.num_rows:
+                continue
+            place = batch.column("lang").dictionary_encode()
+            codes = place.indices.to_numpy() * 64 + batch.column("length").to_numpy()
+            cuts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+            for at, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(codes)], strict=True):
+                part = batch.slice(at, end - at)
+                held.setdefault((part.column("lang")[0].as_py(), part.column("length")[0].as_py()), []).append(part)
+        if not held:
+            return
+        name, at, rows = f"{base}/{uuid.uuid4().hex}.bin", 0, []
+        with system.open_output_stream(name, compression=None) as stream:
+            for (lang, length), parts in held.items():
+                key = np.concatenate([p.column("key").to_numpy() for p in parts])
+                for kind in KINDS:
+                    value = np.concatenate([p.column(kind).cast("double").fill_null(np.nan).to_numpy(zero_copy_only=False) for p in parts])
+                    there = ~np.isnan(value)
+                    if there.any():
+                        stream.write(key[there].astype("<u8").tobytes() + value[there].astype("<f8").tobytes())
+                        rows.append((lang, length, kind, int(key[there][0]), int(there.sum()), name, at))
+                        at += 16 * int(there.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], [f.split()[0] for f in fields.split(", ")])
+
+    fields = "lang string, length long, kind string, first long, n long, file string, at long"
+    order = ["lang", "length", "key"]
+    ranges = max(1, -(-model.count() // segment_rows))
+    segments = model.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(run, fields)
+    return [tuple(r) for r in stored(segments).collect()]
+
+
+class Model:
+    """The arrays that ``write_model`` wrote, opened where they are needed."""
+
+    def __init__(self, segments: list[Segment], folder: str, order: int):
+        self.order, self.system = order, opened(folder)[0]
+        self.mapped: dict[str, pa.Buffer] = {}
+        self.cache: OrderedDict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = OrderedDict()
+        self.cached = 0
+        self.of: dict[tuple[str, int, str], list[Segment]] = {}
+        for s in sorted(segments, key=lambda s: s[3]):
+            self.of.setdefault(s[:3], []).append(s)
+
+    def _arrays(self, segment: Segment) -> tuple[np.ndarray, np.ndarray]:
+        *_, n, name, at = segment
+        if isinstance(self.system, fs.LocalFileSystem):
+            if name not in self.mapped:
+                self.mapped[name] = pa.memory_map(name).read_buffer()
+            return np.frombuffer(self.mapped[name], "<u8", n, at), np.frombuffer(self.mapped[name], "<f8", n, at + 8 * n)
+        if (name, at) not in self.cache:
+            with self.system.open_input_file(name) as file:
+                data = file.read_at(16 * n, at)
+            self.cache[name, at] = np.frombuffer(data, "<u8", n), np.frombuffer(data, "<f8", n, 8 * n)
+            self.cached += 16 * n
+            while self.cached > CACHE_BYTES and len(self.cache) > 1:
+                self.cached -= 16 * len(self.cache.popitem(last=False)[1][0])
+        self.cache.move_to_end((name, at))
+        return self.cache[name, at]
+
+    def look_up(self, lang: str, length: int, kind: str, keys: np.ndarray) -> np.ndarray:
+        """The values of sorted keys; NaN where there is none."""
+        out, segments = np.full(len(keys), np.nan), self.of.get((lang, length, kind), [])
+        cuts = np.searchsorted(keys, np.array([s[3] for s in segments], np.uint64))
+        for segment, a, b in zip(segments, cuts, [*cuts[1:], len(keys)], strict=True):
+            if a < b:
+                table, values = self._arrays(segment)
+                at = np.minimum(np.searchsorted(table, keys[a:b]), len(table) - 1)
+                out[a:b] = np.where(table[at] == keys[a:b], values[at], np.nan)
+        return out
+
+    def _values(self, lang: str, length: int, kind: str, keys: np.ndarray) -> np.ndarray:
+        different, place = np.unique(keys, return_inverse=True)
+        return self.look_up(lang, length, kind, different)[place]
+
+    def knows(self, lang: str) -> bool:
+        return (lang, 1, "logp") in self.of
+
+    def log_probabilities(self, lang: str, keys: np.ndarray) -> np.ndarray:
+        """Per key the natural log of its last character's probability after the others; unseen n-grams back off to shorter ones."""
+        different, place = np.unique(keys, return_inverse=True)
+        out, left = np.zeros(len(different)), np.arange(len(different))
+        for k in range(self.order, 0, -1):
+            short = different[left] & np.uint64((1 << BITS * k) - 1)
+            value = self._values(lang, k, "logp", short)
+            seen = ~np.isnan(value)
+            out[left[seen]] += value[seen]
+            left, short = left[~seen], short[~seen]
+            if not len(left):
+                return out[place]
+            weight = self._values(lang, k - 1, "logb", short >> np.uint64(BITS))
+            out[left] += np.where(np.isnan(weight), 0.0, weight)
+        out[left] -= np.log(sum(s[4] for s in self.of[lang, 1, "logp"]) + 1)
+        return out[place]
 
 
 def text_counts(chunk: Chunk) -> dict[str, np.ndarray]:
@@ -251,68 +314,32 @@ def _distinct_per_row(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, rows:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _features(model, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Base counts, and with a model (a broadcast) the sum of log probabilities and the number of characters."""
+def _features(shared, folder: str, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Base counts, the sum of log probabilities and the number of characters; ``shared`` is a broadcast of the model's segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(shared.value, folder, order)
         for batch in batches:
             texts = batch.column("__text")
             parts = [text_counts(Chunk(texts[a:b])) for a, b in row_ranges(texts)]
             columns = [pa.array(np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64)) for c in COUNTS]
-            if model is not None:
-                total, chars = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-                for name, rows in _by_language(batch, "__lang"):
-                    if name not in model.value:  # all its texts are empty
-                        continue
-                    own = texts.take(pa.array(rows))
-                    for a, b in row_ranges(own):
-                        keys, lengths = ngram_keys(own[a:b], order)
-                        score = np.concatenate([[0.0], np.cumsum(log_probabilities(keys, model.value[name], order))])
-                        stop = np.cumsum(lengths)
-                        total[rows[a:b]], chars[rows[a:b]] = score[stop] - score[stop - lengths], lengths
-                columns += [pa.array(total), pa.array(chars)]
+            total, chars = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for name, rows in _by_language(batch, "__lang"):
+                if not model.knows(name):  # all its texts are empty
+                    continue
+                own = texts.take(pa.array(rows))
+                for a, b in row_ranges(own):
+                    keys, lengths = ngram_keys(own[a:b], order)
+                    score = np.concatenate([[0.0], np.cumsum(model.log_probabilities(name, keys))])
+                    stop = np.cumsum(lengths)
+                    total[rows[a:b]], chars[rows[a:b]] = score[stop] - score[stop - lengths], lengths
             kept = [k for k, c in enumerate(batch.schema.names) if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *columns], [*(batch.schema.names[k] for k in kept), *COUNTS, *(["logp", "n_scored"] if model is not None else [])])
+            names = [*(batch.schema.names[k] for k in kept), *COUNTS, "logp", "n_scored"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), *columns, pa.array(total), pa.array(chars)], names)
 
     return run
 
 
-def _grams(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, id, key, n) of each text: what the join with a large model needs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, langs, texts = batch.column("id"), batch.column("lang"), batch.column("text")
-            for a, b in row_ranges(texts, 1 << 18):
-                keys, lengths = ngram_keys(texts[a:b], order)
-                row = np.repeat(np.arange(b - a), lengths)
-                at = np.lexsort((keys, row))
-                keys, row = keys[at], row[at]
-                first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))[: len(keys)])
-                take = pa.array(row[first] + a)
-                n = np.diff(np.append(first, len(keys)))
-                yield pa.RecordBatch.from_arrays([langs.take(take), ids.take(take), pa.array(keys[first].astype(np.int64)), pa.array(n)], ["lang", "id", "key", "n"])
-
-    return run
-
-
-def score_by_join(texts: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, id, logp) for texts (lang, id, text) and a model of any size: n-grams meet the model in joins, longest first."""
-    spark = texts.sparkSession
-    left = stored(texts.mapInArrow(_grams(order), "lang string, id string, key long, n long")).withColumn("logp", F.lit(0.0))
-    sizes = model.filter("length = 1 AND logp IS NOT NULL").groupBy("lang").agg((-F.log(F.count("*") + 1.0)).alias("unseen"))
-    done = spark.createDataFrame([], "lang string, id string, n long, logp double")
-    for k in range(order, 0, -1):
-        have = model.filter((F.col("length") == k) & F.col("logp").isNotNull()).select("lang", "key", F.col("logp").alias("found"))
-        weight = model.filter((F.col("length") == k - 1) & F.col("logb").isNotNull()).select("lang", F.col("key").alias("context"), "logb")
-        met = stored(left.withColumn("key", F.col("key").bitwiseAND((1 << BITS * k) - 1)).join(have, ["lang", "key"], "left"))
-        done = done.unionByName(met.filter("found IS NOT NULL").select("lang", "id", "n", (F.col("logp") + F.col("found")).alias("logp")))
-        rest = met.filter("found IS NULL").drop("found").withColumn("context", F.shiftright("key", BITS)).join(weight, ["lang", "context"], "left")
-        left = rest.select("lang", "id", "key", "n", (F.col("logp") + F.coalesce("logb", F.lit(0.0))).alias("logp"))
-    done = done.unionByName(left.join(sizes, "lang", "left").select("lang", "id", "n", (F.col("logp") + F.coalesce("unseen", F.lit(0.0))).alias("logp")))
-    return done.groupBy("lang", "id").agg(F.sum(F.col("n") * F.col("logp")).alias("logp"))
-
-
 def bands(scored: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     """(lang, middle, spread) of the column ``x`` (log perplexity): medians at a resolution of a thousandth.
 
@@ -337,37 +364,35 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
+ADDED = (*COUNTS, "base_failed", "log_perplexity", "kept")
+
+
 def quality_rules(
-    docs: DataFrame, keep: list[str], order: int = ORDER, lower: float = LOWER, upper: float = UPPER, model_bytes: int = MODEL_BYTES
+    docs: DataFrame, keep: list[str], order: int = ORDER, lower: float = LOWER, upper: float = UPPER, segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, the base counts, ``base_failed``, ``log_perplexity`` (per character; null for empty texts) and ``kept``.
 
-    ``docs`` needs the columns text and lang; other names in ``keep`` must not clash with the added ones.
+    ``docs`` needs the columns text and lang.
     """
     spark = docs.sparkSession
-    model = stored(kneser_ney(stored(count_ngrams(docs, order), BATCH_ROWS), order))
-    small = model.count() * ENTRY_BYTES <= model_bytes
-    shared = spark.sparkContext.broadcast(_arrays(model, order)) if small else None
-    source = docs.select(*keep, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.col("text").cast("string").alias("__text"))
-    if not small:
-        source = source.withColumn("__id", F.sha2(F.coalesce("__text", F.lit("")), 256)).withColumn("n_scored", F.length(F.coalesce("__text", F.lit(""))).cast("long"))
+    keep = [k for k in keep if k.lower() not in ADDED]
+    folder = new_folder(spark)
+    segments = write_model(stored(kneser_ney(stored(count_ngrams(docs, order), BATCH_ROWS), order)), folder, segment_rows)
+    shared = spark.sparkContext.broadcast(segments)
+    kept = [F.col(k).alias(f"__k{n}") for n, k in enumerate(keep)]
+    source = docs.select(*kept, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.col("text").cast("string").alias("__text"))
     fields = StructType([f for f in source.schema if f.name != "__text"])
-    for name, kind in [*((c, "long") for c in COUNTS), *([("logp", "double"), ("n_scored", "long")] if small else [])]:
+    for name, kind in [*((c, "long") for c in COUNTS), ("logp", "double"), ("n_scored", "long")]:
         fields = fields.add(name, kind)
-    out = source.mapInArrow(_features(shared, order), fields)
-    if not small:
-        texts = source.select(F.col("__lang").alias("lang"), F.col("__id").alias("id"), F.coalesce("__text", F.lit("")).alias("text"))
-        scores = score_by_join(texts.dropDuplicates(["lang", "id"]), model, order)
-        out = out.join(scores.select(F.col("lang").alias("__lang"), F.col("id").alias("__id"), "logp"), ["__lang", "__id"], "left").drop("__id")
+    out = source.mapInArrow(_features(shared, folder, order), fields)
     x = F.when(F.col("n_scored") > 0, F.round(-F.col("logp") / F.col("n_scored"), 9))
     out = stored(out.withColumn("log_perplexity", x).withColumn("base_failed", base_failed()), BATCH_ROWS)
-    if shared:
-        shared.destroy()
+    shared.destroy()
     limits = bands(out.filter("NOT base_failed").select(F.col("__lang").alias("lang"), F.col("log_perplexity").alias("x")))
     limits = stored(limits.withColumnRenamed("lang", "__lang"))
     limits = F.broadcast(limits) if limits.count() <= LANGUAGES else limits
     wide = F.col("spread") * F.sqrt(1 + SHORT / F.greatest(F.lit(1), "n_scored"))
     low, high = F.col("middle") - lower * wide, F.col("middle") + upper * wide
     inside = F.col("middle").isNull() | F.col("log_perplexity").between(low, high)
-    joined = out.join(limits, "__lang", "left")
-    return joined.select(*keep, *COUNTS, "base_failed", "log_perplexity", (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"))
+    joined = out.join(limits, "__lang", "left").withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
+    return joined.select(*[F.col(f"__k{n}").alias(k) for n, k in enumerate(keep)], *ADDED)

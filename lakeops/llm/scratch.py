@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.session import shared_dir
@@ -18,6 +19,11 @@ def new_folder(spark: SparkSession) -> str:
     return path.toString()
 
 
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that holds a path, and the path as that file system takes it."""
+    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

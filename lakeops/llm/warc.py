@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.scratch import new_folder, stored
+from lakeops.llm.scratch import new_folder, opened, stored
 
 LEAST = 100
 BLOCK = 256
@@ -55,10 +55,6 @@ def capture_key(url: str | None, record_id: int) -> tuple[str, int]:
     return url_key(url), record_id
 
 
-def opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-
-
 # Records
 
 
