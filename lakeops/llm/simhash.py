@@ -34,7 +34,7 @@ from lakeops.llm.components import components
 from lakeops.llm.scratch import stored
 
 SHINGLE, SEED = 3, 42
-RADIUS = 2
+RADIUS = 2  # of links; crowded values are linked by words within one bit, which stand for this radius
 HOT = 48
 BITS = 64
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -197,12 +197,12 @@ def probes(fp: Column, part: list[int], threshold: int) -> Column:
     return F.transform(F.array(*[F.lit(f).cast("long") for f in signed]), lambda f: value.bitwiseXOR(f))
 
 
-def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT, plan: list[tuple[list[int], int]] | None = None) -> DataFrame:
-    """Edges (a, b) that connect all fingerprints within ``radius`` bits, for different fingerprints (fp).
+def links(fps: DataFrame, hot: int = HOT, plan: list[tuple[list[int], int]] | None = None) -> DataFrame:
+    """Edges (a, b) that connect all fingerprints within ``RADIUS`` bits, for different fingerprints (fp).
 
-    With a radius other than 2 all values are paired, hot ones too.  A pair inside a group of many similar ones may be connected through a third fingerprint within the radius of both.
+    A pair inside a group of many similar ones may be connected through a third fingerprint within the radius of both.
     """
-    plan = plan_parts(fps, radius) if plan is None else plan
+    plan = plan_parts(fps) if plan is None else plan
     fp = F.col("fp")
     index, sent = None, None
     for k, (part, threshold) in enumerate(plan):
@@ -212,14 +212,14 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT, plan: list[tuple
         sent = asked if sent is None else sent.unionAll(asked)
     shared = index.groupBy("part", "v").agg(F.count("*").alias("n"))
     crowded = stored(shared.filter(F.col("n") > hot).select("part", "v"))
-    if radius != 2 or crowded.isEmpty():  # words within one bit stand for a radius of 2 only
+    if crowded.isEmpty():
         dense = None
         cold = sent
     else:
         dense = sent.join(crowded, ["part", "v"], "left_semi").select("fp").distinct()
         cold = sent.join(crowded, ["part", "v"], "left_anti")
     other = index.select("part", "v", F.col("fp").alias("other"))
-    pairs = cold.join(other, ["part", "v"]).filter((F.col("fp") != F.col("other")) & (F.bit_count(fp.bitwiseXOR(F.col("other"))) <= radius))
+    pairs = cold.join(other, ["part", "v"]).filter((F.col("fp") != F.col("other")) & (F.bit_count(fp.bitwiseXOR(F.col("other"))) <= RADIUS))
     edges = pairs.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct()
     if dense is None:
         return edges
@@ -230,11 +230,11 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT, plan: list[tuple
     return edges.unionByName(star)
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, hot: int = HOT) -> DataFrame:
     """(id, fingerprint, component_id): component_id is the smallest id reachable over links, the document's own included."""
     marked = stored(fingerprints(docs, id, text, size), 1000)
     different = stored(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(different.select("fp"), radius, hot))
+    roots = components(links(different.select("fp"), hot))
     rooted = stored(different.join(roots, different["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     names = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = stored(rooted.join(names, "root").select(F.col("fp").alias("__fp"), "component_id"))
