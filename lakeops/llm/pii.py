@@ -158,11 +158,11 @@ def scanner() -> Callable[[str], tuple]:
             getattr(found, kind)(last + 1 - length, last + 1)
         count = lambda kind: sum(s[0] == kind for s in found.spans)
         base = [s for s in found.spans if s[0] in KINDS[:4]]
-        return *(count(k) for k in KINDS[:4]), hashlib.sha256(joined(base).encode()).hexdigest(), joined(found.spans)
+        return *(count(k) for k in KINDS[:4]), hashlib.sha256(joined(base).encode()).hexdigest(), joined(found.spans), len(found.spans)
 
     return scan
 
 
 def find_personal_data(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep``, counts of the four base kinds, the digest of the base spans and all spans (``kind:start:end``)."""
-    return with_function(df, text, keep, scanner, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    """The columns ``keep``, counts of the four base kinds, the digest of the base spans, all spans (``kind:start:end``) and their number."""
+    return with_function(df, text, keep, scanner, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
