@@ -80,20 +80,57 @@ def test_perplexity_is_modified_kneser_ney(spark):
     df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
     for order in (1, 3):
         expected = plain_kneser_ney(texts, order)
-        for limit in (quality.MODEL_BYTES, 0):  # arrays by broadcast, and joins
-            out = {r["doc_id"]: r["log_perplexity"] for r in quality.quality_rules(df, ["doc_id"], order=order, model_bytes=limit).collect()}
+        for rows in (quality.SEGMENT_ROWS, 7):  # one segment of each length, and many
+            out = {r["doc_id"]: r["log_perplexity"] for r in quality.quality_rules(df, ["doc_id"], order=order, segment_rows=rows).collect()}
             assert [out[k] for k in range(len(texts))] == pytest.approx([-e / len(t) for e, t in zip(expected, texts, strict=True)], abs=1e-8)
 
 
-def test_probabilities_of_unseen_ngrams_add_up(spark):
-    df = spark.createDataFrame([("en", "abracadabra abba"), ("en", "cab bac dab")], "lang string, text string")
-    model = quality.kneser_ney(quality.count_ngrams(df, 3), 3)
-    levels = quality._arrays(model, 3)["en"]
-    symbols = sorted({int(k) for k in levels[1][0]})
+def test_quality_verdicts_of_the_whole_table(spark, sf_dir, documents, rows):
+    """Perplexities by dictionaries and bands by sorting, for every text of the table."""
+    of_lang = defaultdict(list)
+    for r in rows:
+        of_lang[r["lang"] or ""].append(r)
+    logs = {}
+    for group in of_lang.values():
+        for r, e in zip(group, plain_kneser_ney([x["text"] or "" for x in group], quality.ORDER), strict=True):
+            logs[r["doc_id"]] = round(-e / len(r["text"]), 9) if r["text"] else None
+    got = {r["doc_id"]: r for r in quality.quality_rules(documents, ["doc_id"]).collect()}
+    for group in of_lang.values():
+        x = sorted(round(logs[r["doc_id"]], 3) for r in group if not got[r["doc_id"]]["base_failed"])
+        middle = x[(len(x) - 1) // 2]
+        far = sorted(round(abs(v - middle), 3) for v in x)
+        spread = max(0.01, 1.4826 * far[(len(far) - 1) // 2])
+        for r in group:
+            own, value = got[r["doc_id"]], logs[r["doc_id"]]
+            assert own["log_perplexity"] == pytest.approx(value, abs=1e-6)
+            wide = spread * math.sqrt(1 + quality.SHORT / max(1, len(r["text"] or "")))
+            inside = len(x) < quality.MIN_TEXTS or value is None or middle - quality.LOWER * wide <= value <= middle + quality.UPPER * wide
+            assert own["kept"] == (not own["base_failed"] and inside)
+
+
+@pytest.mark.parametrize("mapped", [True, False])
+def test_probabilities_of_unseen_ngrams_add_up(spark, tmp_path, monkeypatch, mapped):
+    df = spark.createDataFrame([("en", "abracadabra abba"), ("en", "cab bac dab"), ("", "zz")], "lang string, text string")
+    table = quality.kneser_ney(quality.count_ngrams(df, 3), 3)
+    segments = quality.write_model(table, f"file://{tmp_path}", 6)
+    assert len(segments) > 12 and sum(s[4] for s in segments) == table.agg(F.count("logp") + F.count("logb")).first()[0]
+    if not mapped:  # a file system that cannot map files, with room for one segment
+        monkeypatch.setattr(quality.fs, "LocalFileSystem", quality.fs.HadoopFileSystem)
+        monkeypatch.setattr(quality, "CACHE_BYTES", 1)
+    model = quality.Model(segments, f"file://{tmp_path}", 3)
+    symbols = sorted({r["key"] for r in table.filter("lang = 'en' AND length = 1 AND logp IS NOT NULL").collect()})
     for context in ("ab", "zz", "ca", "rr"):
         prefix = (ord(context[0]) << 24) | (ord(context[1]) << 12)
         keys = np.array([prefix | s for s in symbols] + [prefix | 0x7FF], np.uint64)  # all seen characters and one for the unseen
-        assert np.exp(quality.log_probabilities(keys, levels, 3)).sum() == pytest.approx(1.0)
+        assert np.exp(model.log_probabilities("en", keys)).sum() == pytest.approx(1.0)
+    assert model.knows("") and not model.knows("fr") and (mapped or len(model.cache) == 1)
+
+
+def test_kept_columns_may_clash_with_added_ones(spark):
+    df = spark.createDataFrame([(1, "some words of a text " * 5, "en", 7, "own")], "doc_id long, text string, lang string, n_words int, kept string")
+    out = quality.quality_rules(df, ["doc_id", "n_words", "kept", "lang"]).collect()
+    assert [c for c in out[0].asDict() if c in ("doc_id", "n_words", "kept", "lang")] == ["doc_id", "lang", "n_words", "kept"]
+    assert (out[0]["n_words"], out[0]["lang"]) == (25, "en")
 
 
 def test_bands_reject_outliers_of_a_language(spark):

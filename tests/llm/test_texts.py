@@ -171,7 +171,8 @@ PII_PARTS = ["a", "B.c", "@", "x.org", ".", "12", "255", "256", "4111 1111 1111
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.sampled_from(PII_PARTS), max_size=16).map("".join))
 def test_base_personal_data(text):
-    *numbers, digest, spans = pii.scanner()(text)
+    *numbers, digest, spans, n = pii.scanner()(text)
+    assert n == len(list(filter(None, spans.split(","))))
     expected = plain_personal(text)
     assert digest == hashlib.sha256(expected.encode()).hexdigest()
     assert set(filter(None, expected.split(","))) <= set(spans.split(","))
@@ -179,9 +180,9 @@ def test_base_personal_data(text):
 
 
 def test_cued_personal_data():
-    spans = pii.scanner()("IBAN: DE89 3704 0044 0532 0130 00, SSN 123-45-6789, account no. 12345678 at https://ann:pw@x.org/a")[-1]
+    spans = pii.scanner()("IBAN: DE89 3704 0044 0532 0130 00, SSN 123-45-6789, account no. 12345678 at https://ann:pw@x.org/a")[-2]
     assert [s.split(":")[0] for s in spans.split(",")] == ["email", "userinfo", "iban", "ssn", "account"]
-    assert "iban" not in pii.scanner()("IBAN: DE89 3704 0044 0532 0130 01")[-1]
+    assert "iban" not in pii.scanner()("IBAN: DE89 3704 0044 0532 0130 01")[-2]
 
 
 # URLs
@@ -233,12 +234,12 @@ def test_url_rules(spark):
 )
 def test_cued_numbers(text, kind, value):
     at = text.index(value)
-    assert f"{kind}:{at}:{at + len(value)}" in pii.scanner()(text)[-1].split(",")
+    assert f"{kind}:{at}:{at + len(value)}" in pii.scanner()(text)[-2].split(",")
 
 
 def test_cued_numbers_that_do_not_hold():
     for text in ("IBAN DE89 3704 0044 0532 0130 0 please", "IBAN DE89 3704 0044 0532 0130 00x", "IBAN DE89370400440532013001", "ssn 000-45-6789", "lesson 123-45-67890"):
-        assert not re.search("iban|ssn", pii.scanner()(text)[-1])
+        assert not re.search("iban|ssn", pii.scanner()(text)[-2])
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T &lt; U</title><style>p{}</style><script>var t="</p>";</script></head><body>
