@@ -560,6 +560,20 @@ def test_near_copies_of_a_whole_table(spark):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values())) and len(expected) < len(table)
 
 
+def test_near_copies_of_repeated_rows(spark, monkeypatch):
+    """Rows with equal ids and texts, joined by broadcast and by shuffles."""
+    base = [f"w{k}" for k in range(80)]
+    texts = [" ".join([*base, f"end{k}"]) for k in range(4)] + ["quite another text of its own words here"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] * 3 + [(None, texts[0]), (7, texts[1])], "doc_id long, text string").withColumn("k", F.xxhash64("text"))
+    for few in (near_copies.BROADCAST_SETS, 0):
+        monkeypatch.setattr(near_copies, "BROADCAST_SETS", few)
+        found = near_copies.near_copies(df, "k").collect()
+        groups = defaultdict(list)
+        for r in found:
+            groups[r["__component"]].append(r["__id"])
+        assert sorted(sorted(map(repr, g)) for g in groups.values()) == sorted([sorted(map(repr, [0, 1, 2, 3] * 3 + [None, 7])), ["4"] * 3])
+
+
 def test_templates_make_no_pairs_and_crowds_of_copies_few(spark, monkeypatch):
     """Texts that fill in one template stay apart without being compared; a crowd of near copies costs its number, not its square."""
     draw, counted, verified = random.Random(3), [], near_copies._verified
