@@ -596,6 +596,41 @@ def test_templates_make_no_pairs_and_crowds_of_copies_few(spark, monkeypatch):
         assert sum(counted) < 30 * n
 
 
+def test_near_dedup_goes_through_simhash_classes(spark, sf_dir, monkeypatch):
+    """Classes of the SimHash operator are verified first: they alone group the nearest copies, and unlike texts with one fingerprint stay apart."""
+    draw, classes, verified = random.Random(5), simhash.near_duplicates, near_copies._verified
+    word = lambda: f"w{draw.randrange(10**6)}"
+    base = [word() for _ in range(1500)]
+    near = [" ".join(base), " ".join([*base, "end"]), " ".join([*base[:700], word(), *base[701:]])]
+    chant = ["one", "two", "three", "four", "five"] * 300
+    unlike = [" ".join(chant + [word() for _ in range(12)]) for _ in range(3)]
+    short = base[:80]
+    texts = [*near, *unlike, " ".join(short), " ".join([*short[:40], word(), *short[41:], "more"]), near[0], None]
+    assert [simhash.fingerprint(t, 5) for t in unlike] == [simhash.fingerprint(unlike[0], 5)] * 3
+    assert all((simhash.fingerprint(near[0], 5) ^ simhash.fingerprint(t, 5)).bit_count() <= 2 for t in near)
+    assert (simhash.fingerprint(texts[6], 5) ^ simhash.fingerprint(texts[7], 5)).bit_count() > 2
+    df = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    calls, counted = [], []
+
+    def called(*args, **options):
+        calls.append(options)
+        return classes(*args, **options)
+
+    def counting(shelf, pairs, *rest):
+        counted.append(pairs.count())
+        return verified(shelf, pairs, *rest)
+
+    monkeypatch.setattr(simhash, "near_duplicates", called)
+    monkeypatch.setattr(near_copies, "_verified", counting)
+    left = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()}
+    root = jaccard_components(texts)
+    assert left == {k for k, r in enumerate(root) if k == r} == {0, 3, 4, 5, 6, 9}
+    assert calls == [{"size": 5}] and counted == [4, 1]  # two links of near copies and two of unlike ones; then the pair of short ones
+    pairs = near_copies._pairs
+    monkeypatch.setattr(near_copies, "_pairs", lambda *args: pairs(*args).limit(0))
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, sf_dir).collect()} == left | {7}
+
+
 def test_decontamination_judges_rows_not_ids(spark, sf_dir):
     item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
     clean = " ".join(f"word{k}" for k in range(60))
